@@ -124,12 +124,71 @@ QUERIES: dict[str, Callable[[Context], DataFrame]] = {
 }
 
 
-def category_paths_q(c: Context) -> DataFrame:  # replaced below once J3 exists
+def keyword_intent_exact_q(c: Context) -> DataFrame:  # replaced below once J6 exists
     raise NotImplementedError
 
 
-def keyword_intent_exact_q(c: Context) -> DataFrame:  # replaced below once J6 exists
-    raise NotImplementedError
+# ---------------------------------------------------------------- J3, J4
+from .plans import catalog as _catalog  # noqa: E402
+from .plans import facts as _facts  # noqa: E402
+
+
+def category_paths_q(c: Context) -> DataFrame:
+    return _catalog.category_paths(c.fx["fx_category"], FACTS_CFG.catalog_code, FACTS_CFG.levels)
+
+
+def category_mapping_q(c: Context) -> DataFrame:
+    return _catalog.map_search_categories(c.views(), c.fx["fx_category"], c.paths(), FACTS_CFG)
+
+
+def path_explode_q(c: Context) -> DataFrame:
+    return _catalog.exploded_paths(c.views(), FACTS_CFG)
+
+
+def deepest_category_q(c: Context) -> DataFrame:
+    return _catalog.deepest_known_code(_catalog.exploded_paths(c.views(), FACTS_CFG), c.fx["fx_category"], FACTS_CFG)
+
+
+# ---------------------------------------------------------------- J5
+def keyword_facts_q(c: Context) -> DataFrame:
+    return _facts.keyword_facts(c.views(), c.clicks(), c.fx["fx_kw_category"], c.paths(), FACTS_CFG)
+
+
+def keyword_loads_clicks_q(c: Context) -> DataFrame:
+    base = _facts.loads_base(c.views(), FACTS_CFG).select("session_id", _facts.KW)
+    return _facts.keyword_counts(base, _facts.clicks_base(c.clicks(), FACTS_CFG))
+
+
+def funnel_totals_q(c: Context) -> DataFrame:
+    base = _facts.loads_base(c.views(), FACTS_CFG)
+    pair = F.concat(F.col("session_id"), F.col(_facts.KW))
+    clicks_total = _facts.clicks_base(c.clicks(), FACTS_CFG).select(
+        F.count_distinct(F.concat(F.col("session_id"), F.col(_facts.KW)))).scalar()
+    return base.agg(F.count_distinct(pair).alias("total_loads"),
+                    F.count_distinct(_facts.KW).alias("total_keywords")).select(
+        "total_loads", clicks_total.alias("total_clicks"), "total_keywords")
+
+
+def keyword_category_any_q(c: Context) -> DataFrame:
+    return _facts.keyword_category(c.fx["fx_kw_category"])
+
+
+def category_fill_in_q(c: Context) -> DataFrame:
+    return _facts.fill_category(_facts.loads_base(c.views(), FACTS_CFG),
+                                _facts.keyword_category(c.fx["fx_kw_category"]))
+
+
+QUERIES.update({
+    "category_paths": category_paths_q,
+    "category_mapping": category_mapping_q,
+    "path_explode": path_explode_q,
+    "deepest_category": deepest_category_q,
+    "keyword_facts": keyword_facts_q,
+    "keyword_loads_clicks": keyword_loads_clicks_q,
+    "funnel_totals": funnel_totals_q,
+    "keyword_category_any": keyword_category_any_q,
+    "category_fill_in": category_fill_in_q,
+})
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
