@@ -12,6 +12,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..config import NON_LATIN_PATTERN, WHITESPACE_RUN_PATTERN
 
@@ -22,7 +23,7 @@ def _nfkc_value(v):
     return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc_batch(s: pd.Series) -> pd.Series:
     return s.map(_nfkc_value)
 

@@ -124,10 +124,6 @@ QUERIES: dict[str, Callable[[Context], DataFrame]] = {
 }
 
 
-def keyword_intent_exact_q(c: Context) -> DataFrame:  # replaced below once J6 exists
-    raise NotImplementedError
-
-
 # ---------------------------------------------------------------- J3, J4
 from .plans import catalog as _catalog  # noqa: E402
 from .plans import facts as _facts  # noqa: E402
@@ -191,5 +187,95 @@ QUERIES.update({
 })
 
 
+# ---------------------------------------------------------------- J6, J7
+from .functions.text import norm_str  # noqa: E402
+from .plans import intent as _intent  # noqa: E402
+
+
+def _stage(df: DataFrame, name: str) -> DataFrame:
+    return materialize(df, name)
+
+
+def normalized_text_q(c: Context) -> DataFrame:
+    docs = c.fx["documents"]
+    return docs.select("doc_id", norm_str(F.col("text")).alias("normalized_text"))
+
+
+def ner_flat_q(c: Context) -> DataFrame:
+    return _intent.ner_flat(c.fx["fx_ner"])
+
+
+def ner_exact_q(c: Context) -> DataFrame:
+    base = _intent.base_keywords(c.fx["fx_keywords"])
+    return base.select(_intent.KW).join(_intent.ner_exact(base, _intent.ner_flat(c.fx["fx_ner"])), _intent.KW, "left")
+
+
+def dictionary_exact_match_q(c: Context) -> DataFrame:
+    fx = c.fx
+    base = _intent.base_keywords(fx["fx_keywords"])
+    specs = [
+        ("brand", _intent.brand_names(fx["fx_brand"]), "brand_name"),
+        ("product_type", _intent.product_type_values(fx["fx_attributes"]), "attribute_value"),
+        ("seller", _intent.exact_sellers(fx["fx_seller"]), "business_partner_name"),
+    ]
+    parts = []
+    for tag, values, raw in specs:
+        d = _intent.dictionary(values, raw, "raw", "norm")
+        m = _intent.exact_match(base, d, "norm", "raw", "matched", "matched_raw")
+        parts.append(m.select(_intent.KW, F.lit(tag).alias("dictionary"), "matched_raw"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def keyword_intent_exact_q(c: Context) -> DataFrame:
+    fx = c.fx
+    return _intent.keyword_intent_exact(fx["fx_keywords"], fx["fx_ner"], fx["fx_brand"], fx["fx_attributes"],
+                                        fx["fx_seller"], stage=_stage)
+
+
+def _fuzzy_dict_q(kind: str, flag: str, out: str):
+    def q(c: Context) -> DataFrame:
+        fx = c.fx
+        queries = _intent.fuzzy_queries(c.exact()).where(~F.col(flag))
+        dicts = _intent.fuzzy_dictionaries(fx["fx_brand"], fx["fx_attributes"], fx["fx_seller"])
+        return _intent.fuzzy_dictionary_match(queries, dicts[kind], out)
+    return q
+
+
+def fuzzy_ner_match_q(c: Context) -> DataFrame:
+    queries = _intent.fuzzy_queries(c.exact())
+    nv = _intent.ner_norm(c.fx["fx_ner"])
+    b = _intent.fuzzy_ner_match(queries.where(~F.col("is_brand_exact")), nv, "brand", "matched_ner_value")
+    p = _intent.fuzzy_ner_match(queries.where(~F.col("is_product_type_exact")), nv, "product_type",
+                                "matched_ner_value")
+    return (b.select(_intent.KW, F.lit("brand").alias("attribute_name"), "matched_ner_value")
+            .unionByName(p.select(_intent.KW, F.lit("product_type").alias("attribute_name"), "matched_ner_value")))
+
+
+def fuzzy_match_reference_norm_q(c: Context) -> DataFrame:
+    from .functions.text import first_char
+    d = _intent.fuzzy_dictionaries(c.fx["fx_brand"], c.fx["fx_attributes"], c.fx["fx_seller"])["brand"]
+    return d.select("value", F.length("value").alias("len"), first_char(F.col("value")).alias("fc"))
+
+
+def keyword_intent_fuzzy_q(c: Context) -> DataFrame:
+    fx = c.fx
+    return _intent.keyword_intent_fuzzy(c.exact(), fx["fx_ner"], fx["fx_brand"], fx["fx_attributes"], fx["fx_seller"])
+
+
+QUERIES.update({
+    "normalized_text": normalized_text_q,
+    "ner_flat": ner_flat_q,
+    "ner_exact": ner_exact_q,
+    "dictionary_exact_match": dictionary_exact_match_q,
+    "keyword_intent_exact": keyword_intent_exact_q,
+    "fuzzy_brand_match": _fuzzy_dict_q("brand", "is_brand_exact", "matched_brand_master"),
+    "fuzzy_product_type_match": _fuzzy_dict_q("product_type", "is_product_type_exact", "matched_product_type_master"),
+    "fuzzy_seller_match": _fuzzy_dict_q("seller", "is_seller_exact", "matched_seller"),
+    "fuzzy_ner_match": fuzzy_ner_match_q,
+    "fuzzy_match_reference_norm": fuzzy_match_reference_norm_q,
+    "keyword_intent_fuzzy": keyword_intent_fuzzy_q,
+})
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: (lambda spark, sf_dir, _f=fn: _f(context(spark, sf_dir))) for name, fn in QUERIES.items()}
