@@ -277,5 +277,57 @@ QUERIES.update({
 })
 
 
+# ---------------------------------------------------------------- J8
+from .plans import enrich as _enrich  # noqa: E402
+from .session import ensure_checkpoint_dir  # noqa: E402
+from .sources.fixtures import ENRICH_CFG, fixture_predictor  # noqa: E402
+
+
+def _pending(c: Context) -> DataFrame:
+    return _enrich.pending_terms(c.views(), c.fx["fx_status_v1"], c.fx["fx_status_v2"], ENRICH_CFG)
+
+
+def pending_terms_q(c: Context) -> DataFrame:
+    return _pending(c)
+
+
+def term_batches_q(c: Context) -> DataFrame:
+    return _enrich.term_batches(_pending(c), _stage, ENRICH_CFG)
+
+
+def enrich_terms_q(c: Context) -> DataFrame:
+    return _enrich.enrich_terms(_enrich.term_batches(_pending(c), _stage, ENRICH_CFG), fixture_predictor, 4)
+
+
+def parse_predictions_q(c: Context) -> DataFrame:
+    return enrich_terms_q(c).drop("batch_id")
+
+
+def enrichment_summary_q(c: Context) -> DataFrame:
+    batched = _enrich.term_batches(_pending(c), _stage, ENRICH_CFG)
+    results = _enrich.enrich_terms(batched, fixture_predictor, 4)
+    total = batched.select(F.count(F.lit(1))).scalar()
+    return _enrich.enrichment_summary(results, total, ENRICH_CFG.success_code)
+
+
+def batch_resume_q(c: Context) -> DataFrame:
+    import uuid
+    batched = _stage(_enrich.term_batches(_pending(c), _stage, ENRICH_CFG), "term_batches")
+    out_dir = f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/enrichment-{uuid.uuid4().hex}"
+    _enrich.run_enrichment(batched, fixture_predictor, out_dir, fresh=True, max_jobs=2)   # interrupted run
+    _enrich.run_enrichment(batched, fixture_predictor, out_dir, fresh=False)              # resume
+    return _enrich.read_results(c.spark, out_dir)
+
+
+QUERIES.update({
+    "pending_terms": pending_terms_q,
+    "term_batches": term_batches_q,
+    "enrich_terms": enrich_terms_q,
+    "parse_predictions": parse_predictions_q,
+    "enrichment_summary": enrichment_summary_q,
+    "batch_resume": batch_resume_q,
+})
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: (lambda spark, sf_dir, _f=fn: _f(context(spark, sf_dir))) for name, fn in QUERIES.items()}

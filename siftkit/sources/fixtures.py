@@ -377,3 +377,42 @@ class Fixtures:
             from .tables import materialize
             df = materialize(df, f"{name}-{uuid.uuid4().hex[:8]}")
         return df
+
+
+def fixture_predictor(pdf):
+    """Deterministic stand-in for the category prediction service (a pure function of the term).
+
+    By ``len(term) % 6``: 0 a category (two when ``% 12 == 0``), 1 no data,
+    2 an empty category list, 3 a timeout, 4 a truncated JSON body, 5 an
+    HTTP error.
+    """
+    import json
+
+    import pandas as pd
+
+    rows = []
+    for term in pdf["search_internal_keyword"]:
+        n = len(term)
+        kind = n % 6
+        resp = err = msg = None
+        if kind == 0:
+            def cat(k):
+                return {"score": k / 10, "c1CategoryCode": f"C1-{k % 5}", "c2CategoryCode": f"C2-{k % 25}",
+                        "c3CategoryCode": f"C3-{k % 10}", "c3_name": term.lower(),
+                        "c3_category": f"C1-{k % 5}/C2-{k % 25}/C3-{k % 10}"}
+            cats = [cat(n)] + ([cat(n + 1)] if n % 12 == 0 else [])
+            resp = json.dumps({"code": 200, "status": "OK", "data": {
+                "isGenericTerm": False, "isValidC3": True, "categoryHierarchyList": cats}})
+        elif kind == 1:
+            resp = json.dumps({"code": 200, "status": "OK"})
+        elif kind == 2:
+            resp = json.dumps({"code": 200, "status": "OK", "data": {
+                "isGenericTerm": True, "isValidC3": False, "categoryHierarchyList": []}})
+        elif kind == 3:
+            err, msg = "TIMEOUT", "Request timed out after 30s"
+        elif kind == 4:
+            resp = '{"code": 200, "status": '
+        else:
+            err, msg = "HTTP_ERROR", "503 Server Error: Service Unavailable"
+        rows.append((resp, err, msg))
+    return pd.DataFrame(rows, columns=["response", "error_type", "error_message"])
