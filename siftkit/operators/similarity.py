@@ -61,7 +61,9 @@ def similarity_candidates(queries: DataFrame, key: str, text: str, dictionary: D
          .withColumn("__fc", first_char(F.col(text))))
     qv = q.select(key, text, "__len", "__t", "__fc",
                   F.explode(deletion_variants(F.col(text), F.col("__len"), F.col("__t"))).alias("__v"))
-    d = (dictionary.select(F.col(value).alias("__val")).where(F.col("__val").isNotNull()).distinct()
+    # no null filter here: a null value has null variants and never joins, and a filter on a
+    # Python-normalised column would evaluate the normaliser twice
+    d = (dictionary.select(F.col(value).alias("__val")).distinct()
          .withColumn("__dlen", F.length("__val"))
          .withColumn("__dfc", first_char(F.col("__val"))))
     dk = threshold(F.col("__dlen") + F.lit(max_gap))
@@ -86,8 +88,7 @@ def keyed_candidates(queries: DataFrame, key: str, text: str, values: DataFrame,
     """Edit distance between each query and the values listed for the same key (no blocking)."""
     q = (queries.select(key, text).where(F.col(text).isNotNull()).distinct()
          .withColumn("__t", threshold(F.length(text))))
-    v = values.select(key, value).where(F.col(value).isNotNull())
-    pairs = q.join(v, key, "inner")
+    pairs = q.join(values.select(key, value), key, "inner")   # null values get a null distance
     dist = F.levenshtein(F.col(text), F.col(value), max_limit)
     return (pairs.select(key, value, dist.alias("distance"), "__t")
             .where((F.col("distance") >= 0) & (F.col("distance") <= F.col("__t")))

@@ -136,15 +136,20 @@ def _normaliser(name: str) -> Callable[[Column], Column]:
 
 
 def fuzzy_dictionaries(brands: DataFrame, attributes: DataFrame, sellers: DataFrame,
-                       normalizer: str = "reference") -> dict[str, DataFrame]:
-    """The three fuzzy dictionaries as single ``value`` columns (sellers need only a code)."""
+                       normalizer: str = "reference", distinct: bool = True) -> dict[str, DataFrame]:
+    """The three fuzzy dictionaries as single ``value`` columns (sellers need only a code).
+
+    With ``distinct`` (enough for best-match search) raw values are
+    de-duplicated before the Python-side normalisation.
+    """
     f = _normaliser(normalizer)
-    return {
-        "brand": brand_names(brands).select(f(F.col("brand_name")).alias("value")),
-        "product_type": product_type_values(attributes).select(f(F.col("attribute_value")).alias("value")).distinct(),
+    raw = {
+        "brand": brand_names(brands).select(F.col("brand_name").alias("__raw")),
+        "product_type": product_type_values(attributes).select(F.col("attribute_value").alias("__raw")),
         "seller": (sellers.where(F.col("business_partner_code").isNotNull())
-                   .select(f(F.col("business_partner_name")).alias("value")).distinct()),
+                   .select(F.col("business_partner_name").alias("__raw"))),
     }
+    return {k: (v.distinct() if distinct else v).select(f(F.col("__raw")).alias("value")) for k, v in raw.items()}
 
 
 def ner_norm(ner: DataFrame, normalizer: str = "reference") -> DataFrame:
