@@ -15,9 +15,7 @@ from dataclasses import dataclass, field
 # Fixed values (must equal the studied queries for identical results)
 # --------------------------------------------------------------------------
 
-# Screening of search events.
-ACCOUNTS = ("BLIBLI-SEOUL", "BLIBLI-ANDROID", "BLIBLI-IOS")
-WEB_ACCOUNT = "BLIBLI-SEOUL"
+# Screening of search events (the account names are deployment parameters: SearchConfig).
 SEARCH_PAGE_TYPES = ("search", "searchpage", "n-1 page")
 INVALID_SEARCH_IDS = ("", "undefined")
 EXCLUDED_CLIENT_STATUSES = ("INTERNAL", "GOOGLE_BOT")
@@ -110,12 +108,16 @@ JSON_MESSAGE = "Invalid JSON response"
 
 @dataclass(frozen=True)
 class SearchConfig:
-    """Row screening of the search-event jobs."""
+    """Row screening of the search-event jobs.
 
+    ``accounts`` are the upper-cased account ids kept (compared case-folded);
+    ``web_account`` is the one whose device type decides the channel.
+    """
+
+    accounts: tuple
+    web_account: str
     date_from: _dt.date = _dt.date(2025, 1, 1)
     zone: str = LOCAL_ZONE
-    accounts: tuple = ACCOUNTS
-    web_account: str = WEB_ACCOUNT
     page_types: tuple = SEARCH_PAGE_TYPES
     invalid_search_ids: tuple = INVALID_SEARCH_IDS
     excluded_statuses: tuple = EXCLUDED_CLIENT_STATUSES

@@ -112,7 +112,7 @@ def _screened_groups(raw, searches, members, stopwords, cfg, kv_spec, sku_list):
 
 
 def search_views(raw: DataFrame, searches: DataFrame, members: DataFrame, stopwords: DataFrame,
-                 cfg: SearchConfig = SearchConfig()) -> DataFrame:
+                 cfg: SearchConfig) -> DataFrame:
     """Screened impressions with SKU list and 18 key/value columns (42 columns)."""
     utc = _utc(raw)
     rows = raw.where(row_filter(raw, cfg)).select(
@@ -132,7 +132,7 @@ def search_views(raw: DataFrame, searches: DataFrame, members: DataFrame, stopwo
 
 
 def search_clicks(raw: DataFrame, searches: DataFrame, members: DataFrame, stopwords: DataFrame,
-                  cfg: SearchConfig = SearchConfig()) -> DataFrame:
+                  cfg: SearchConfig) -> DataFrame:
     """Screened clicks with 15 key/value columns (36 columns)."""
     utc = _utc(raw)
     rows = raw.where(row_filter(raw, cfg)).select(
@@ -151,20 +151,20 @@ def search_clicks(raw: DataFrame, searches: DataFrame, members: DataFrame, stopw
 
 
 def screened_rows(raw: DataFrame, searches: DataFrame, members: DataFrame, stopwords: DataFrame,
-                  cfg: SearchConfig = SearchConfig()) -> DataFrame:
+                  cfg: SearchConfig) -> DataFrame:
     """The filtered and screened rows themselves (the ``base`` relation), row by row."""
     rows = raw.where(row_filter(raw, cfg))
     return screen(rows, searches, members, stopwords, cfg)
 
 
-def sku_lists(raw: DataFrame, cfg: SearchConfig = SearchConfig()) -> DataFrame:
+def sku_lists(raw: DataFrame, cfg: SearchConfig) -> DataFrame:
     """N15 + A5 alone: distinct sorted SKUs per group of filtered rows (groups without SKUs absent)."""
     from ..operators.nested import collect_distinct_string
     rows = raw.where(row_filter(raw, cfg)).select(*GROUP_KEYS, "product_list")
     return collect_distinct_string(rows, GROUP_KEYS, "product_list", "sku", "skus")
 
 
-def kv_columns(raw: DataFrame, cfg: SearchConfig = SearchConfig(),
+def kv_columns(raw: DataFrame, cfg: SearchConfig,
                spec: Sequence[tuple[str, Sequence[str]]] = VIEW_KV_COLUMNS) -> DataFrame:
     """N16 + A6/A7 alone: the key/value pivot per group of filtered rows."""
     from ..operators.nested import kv_pivot
