@@ -193,14 +193,16 @@ def finished_terms(spark: SparkSession, out_dir: str) -> DataFrame | None:
 
 def run_enrichment(batched: DataFrame, predict_fn: Predictor, out_dir: str, fresh: bool = True,
                    batches_per_job: int = 1, max_jobs: int | None = None,
-                   partitions: int | None = None) -> RunStats:
+                   partitions: int | None = None, csv_checkpoint_dir: str | None = None) -> RunStats:
     """Predict batch by batch into ``out_dir`` partitioned by ``batch_id``.
 
     A fresh run truncates the output with its first batch; later batches
     replace only their own partitions, so repeating a batch is idempotent.
     A resumed run (``fresh=False``) skips terms already present in the
     output. Each job commits its batches; ``max_jobs`` stops early (as an
-    interrupted run would).
+    interrupted run would). With ``csv_checkpoint_dir`` each written batch
+    is also copied, from the written table, to a header CSV partition (S6);
+    the predictor is not called again for it.
     """
     spark = batched.sparkSession
     start = time.time()
@@ -218,11 +220,14 @@ def run_enrichment(batched: DataFrame, predict_fn: Predictor, out_dir: str, fres
             break
         part = enrich_terms(todo.where(F.col("batch_id").isin(group)), predict_fn, partitions)
         write_partitions(part, out_dir, "batch_id", replace_all=fresh and j == 0)
+        if csv_checkpoint_dir:
+            written = read_results(spark, out_dir).where(F.col("batch_id").isin(group))
+            write_partitions(written, csv_checkpoint_dir, "batch_id", replace_all=fresh and j == 0, fmt="csv")
         stats.batches_written.extend(group)
     stats.seconds = time.time() - start
     return stats
 
 
-def read_results(spark: SparkSession, out_dir: str) -> DataFrame:
-    """The enrichment output read back with its explicit schema."""
-    return read_partitions(spark, out_dir, RESULT_SCHEMA)
+def read_results(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> DataFrame:
+    """The enrichment output (or its CSV checkpoint) read back with the explicit schema."""
+    return read_partitions(spark, out_dir, RESULT_SCHEMA, fmt=fmt)

@@ -187,15 +187,19 @@ def fuzzy_queries(exact: DataFrame) -> DataFrame:
 
 
 def keyword_intent_fuzzy(exact: DataFrame, ner: DataFrame, brands: DataFrame, attributes: DataFrame,
-                         sellers: DataFrame, normalizer: str = "reference") -> DataFrame:
+                         sellers: DataFrame, normalizer: str = "reference", stage: Stage | None = None) -> DataFrame:
     """Fuzzy intent per row of the exact table (13 columns).
 
     Candidates are searched only for keywords whose exact flag is false;
-    fuzzy flags include the exact flag.
+    fuzzy flags include the exact flag. ``stage`` (optional) stores the
+    distinct keywords and the normalised NER values once, as five matchers
+    read them.
     """
     q = fuzzy_queries(exact)
     dicts = fuzzy_dictionaries(brands, attributes, sellers, normalizer)
     nv = ner_norm(ner, normalizer)
+    if stage is not None:
+        q, nv = stage(q, "fuzzy_keywords"), stage(nv, "ner_values")
     bm = fuzzy_dictionary_match(q.where(~F.col("is_brand_exact")), dicts["brand"], "matched_brand_master")
     bn = fuzzy_ner_match(q.where(~F.col("is_brand_exact")), nv, "brand", "matched_brand_ner")
     pm = fuzzy_dictionary_match(q.where(~F.col("is_product_type_exact")), dicts["product_type"],

@@ -260,7 +260,8 @@ def fuzzy_match_reference_norm_q(c: Context) -> DataFrame:
 
 def keyword_intent_fuzzy_q(c: Context) -> DataFrame:
     fx = c.fx
-    return _intent.keyword_intent_fuzzy(c.exact(), fx["fx_ner"], fx["fx_brand"], fx["fx_attributes"], fx["fx_seller"])
+    return _intent.keyword_intent_fuzzy(c.exact(), fx["fx_ner"], fx["fx_brand"], fx["fx_attributes"], fx["fx_seller"],
+                                        stage=_stage)
 
 
 QUERIES.update({

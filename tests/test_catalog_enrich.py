@@ -94,11 +94,14 @@ def test_resume_writes_every_batch_once(spark):
     stage = lambda df, n: materialize(df, n)
     batched = stage(enrich.term_batches(terms, stage, enrich.EnrichConfig(batch_size=5)), "tb")
     out_dir = f"{ensure_checkpoint_dir(spark)}/test-enrich-{uuid.uuid4().hex}"
-    first = enrich.run_enrichment(batched, _predict, out_dir, fresh=True, max_jobs=2)
+    csv_dir = out_dir + "-csv"
+    first = enrich.run_enrichment(batched, _predict, out_dir, fresh=True, max_jobs=2, csv_checkpoint_dir=csv_dir)
     assert first.batches_written == [0, 1]
-    second = enrich.run_enrichment(batched, _predict, out_dir, fresh=False)
+    second = enrich.run_enrichment(batched, _predict, out_dir, fresh=False, csv_checkpoint_dir=csv_dir)
     assert second.batches_written == [2, 3, 4]
     again = enrich.run_enrichment(batched, _predict, out_dir, fresh=False)   # nothing left
     assert again.batches_written == []
     res = enrich.read_results(spark, out_dir)
     assert res.count() == 23 and res.select("search_internal_keyword").distinct().count() == 23
+    csv = enrich.read_results(spark, csv_dir, fmt="csv")
+    assert sorted(map(tuple, csv.collect()), key=repr) == sorted(map(tuple, res.collect()), key=repr)
