@@ -55,17 +55,23 @@ def similarity_candidates(queries: DataFrame, key: str, text: str, dictionary: D
 
     ``threshold`` must be non-decreasing in the length and at most ``max_limit`` (<= 2).
     """
+    # no null filter on the dictionary: a null value has null variants and never joins, and a
+    # filter on a Python-normalised column would evaluate the normaliser twice
+    d = (dictionary.select(F.col(value).alias("__val")).distinct()
+         .withColumn("__dlen", F.length("__val"))
+         .withColumn("__dfc", first_char(F.col("__val"))))
+    # (first char, length) blocks the dictionary can reach: at most alphabet x lengths rows.
+    # Queries outside every block cannot match and never generate variants.
+    blocks = d.select(F.col("__dfc").alias("__bfc"),
+                      F.explode(F.sequence(F.col("__dlen") - max_gap, F.col("__dlen") + max_gap)).alias("__blen")
+                      ).distinct()
     q = (queries.select(key, text).where(F.col(text).isNotNull()).distinct()
          .withColumn("__len", F.length(text))
          .withColumn("__t", threshold(F.col("__len")))
          .withColumn("__fc", first_char(F.col(text))))
+    q = q.join(blocks, (F.col("__fc") == F.col("__bfc")) & (F.col("__len") == F.col("__blen")), "left_semi")
     qv = q.select(key, text, "__len", "__t", "__fc",
                   F.explode(deletion_variants(F.col(text), F.col("__len"), F.col("__t"))).alias("__v"))
-    # no null filter here: a null value has null variants and never joins, and a filter on a
-    # Python-normalised column would evaluate the normaliser twice
-    d = (dictionary.select(F.col(value).alias("__val")).distinct()
-         .withColumn("__dlen", F.length("__val"))
-         .withColumn("__dfc", first_char(F.col("__val"))))
     dk = threshold(F.col("__dlen") + F.lit(max_gap))
     dv = d.select("__val", "__dlen", "__dfc",
                   F.explode(deletion_variants(F.col("__val"), F.col("__dlen"), dk)).alias("__dv"))
