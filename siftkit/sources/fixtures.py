@@ -149,8 +149,8 @@ SELECT {_COMMON_COLS}, b.device, b.client_member_id, b.all_category_click,
 FROM {{fx_base}} b
 LEFT JOIN (
   SELECT l_orderkey, {_collect(d, _struct(d, sku=sku))} AS product_list
-  FROM {{lineitem}} WHERE l_orderkey < 1500 GROUP BY l_orderkey
-) pl ON pl.l_orderkey = b.event_id % 1500
+  FROM {{lineitem}} GROUP BY l_orderkey
+) pl ON pl.l_orderkey = b.event_id
 WHERE b.event_type = 'view'
 """
 
@@ -203,12 +203,13 @@ def _category(d: str) -> str:
         "'main', 'C3-' || CAST(s_suppkey AS STRING), s_name, lower(s_name) FROM {supplier} "
         "WHERE s_suppkey % 9 = 0",
         node(4, "p_partkey", "'N3-' || CAST(p_partkey % 10 AS STRING)", "'main'", "p_name",
-             f"CASE WHEN p_partkey % 4 = 0 THEN {_S} ELSE upper(p_name) END", "{part}",
-             " WHERE p_partkey < 50"),
+             f"CASE WHEN p_partkey % 4 = 0 THEN {_S} ELSE upper(p_name) END", "{part}"),
     ]
-    for level, limit in ((5, 8), (6, 4), (7, 2), (8, 1)):
+    # deeper levels thin out by key parity: a part at level L also has a node at L+1 when
+    # its key is divisible by 2^(L-3), so every 16th part reaches level 8
+    for level in (5, 6, 7, 8):
         parts.append(node(level, "p_partkey", f"'N{level - 1}-' || CAST(p_partkey AS STRING)", "'main'",
-                          "p_brand", "lower(p_brand)", "{part}", f" WHERE p_partkey < {limit}"))
+                          "p_brand", "lower(p_brand)", "{part}", f" WHERE p_partkey % {2 ** (level - 4)} = 0"))
     return "\nUNION ALL\n".join(parts)
 
 
