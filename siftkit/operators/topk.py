@@ -1,10 +1,11 @@
 """Top-1 per group.
 
 ``ROW_NUMBER() OVER (PARTITION BY k ORDER BY o) = 1`` needs a sort of every
-group. Taking the minimum of a struct of the ordering columns is the same
-pick, runs as a hash aggregate with map-side partial results (a hot group
-never sits in one task), and is deterministic because the struct ends with
-explicit tie-breakers.
+group in one task. Taking the minimum of a struct of the ordering columns is
+the same pick as an aggregation with map-side partial results, so a hot group
+is reduced before the shuffle. Spark runs it sort-based when the struct holds
+strings. The pick is deterministic because the struct ends with explicit
+tie-breakers.
 """
 
 from __future__ import annotations
