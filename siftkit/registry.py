@@ -255,7 +255,7 @@ def fuzzy_match_reference_norm_q(c: Context) -> DataFrame:
     from .functions.text import first_char
     d = _intent.fuzzy_dictionaries(c.fx["fx_brand"], c.fx["fx_attributes"], c.fx["fx_seller"],
                                    distinct=False)["brand"]
-    return d.select("value", F.length("value").alias("len"), first_char(F.col("value")).alias("fc"))
+    return d.select("value", F.length("value").cast("long").alias("len"), first_char(F.col("value")).alias("fc"))
 
 
 def keyword_intent_fuzzy_q(c: Context) -> DataFrame:

@@ -622,8 +622,8 @@ parsed AS (
   FROM batches
 ),
 per_batch AS (
-  SELECT batch_id, COUNT(*) AS records, COUNT_IF(code = 200) AS success,
-    COUNT_IF(code IS DISTINCT FROM 200) AS failed
+  SELECT batch_id, COUNT(*) AS records, CAST(COUNT_IF(code = 200) AS BIGINT) AS success,
+    CAST(COUNT_IF(code IS DISTINCT FROM 200) AS BIGINT) AS failed
   FROM parsed GROUP BY batch_id
 )"""
 
@@ -636,7 +636,8 @@ ORACLE["enrichment_summary"] = _enrich_ctes() + """,
 all_rows AS (
   SELECT * FROM per_batch
   UNION ALL
-  SELECT NULL, SUM(records), SUM(success), SUM(failed) FROM per_batch
+  SELECT NULL, CAST(SUM(records) AS BIGINT), CAST(SUM(success) AS BIGINT), CAST(SUM(failed) AS BIGINT)
+  FROM per_batch
 )
 SELECT batch_id, records, success, failed,
   100.0 * success / NULLIF((SELECT COUNT(*) FROM terms), 0) AS success_pct,
