@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .session import apply_plan_settings
+from .session import apply_plan_settings, ship_package
 from .sources.fixtures import FACTS_CFG, SEARCH_CFG, Fixtures
 from .sources.tables import materialize
 
@@ -51,6 +51,7 @@ def context(spark: SparkSession, sf_dir: str) -> Context:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _CONTEXTS:
         apply_plan_settings(spark)
+        ship_package(spark)
         _CONTEXTS[key] = Context(spark, sf_dir.rstrip("/"))
     return _CONTEXTS[key]
 
