@@ -97,11 +97,10 @@ def sainte_lague(parties: DataFrame, houses: Sequence[int]) -> DataFrame:
             k = F.get("seats", F.lit(h))
             more = (base.filter(k < F.col("seats_max"))
                     .orderBy((F.col("votes") / (2 * k + 1)).desc(), *keys).limit(int(left))
-                    .select(*keys, F.lit(1).cast("long").alias("__more")))
-            cond = [base[c].eqNullSafe(more[c]) for c in keys]
-            base = store(base.join(more, cond, "left").select(
-                *[base[c] for c in keys], "votes", "seats_max",
-                F.transform("seats", _raise_at(h)).alias("seats")), "mix-seats")
+                    .select(*[F.col(c).alias(f"__m_{c}") for c in keys], F.lit(1).cast("long").alias("__more")))
+            same = [F.col(c).eqNullSafe(F.col(f"__m_{c}")) for c in keys]
+            base = store(base.join(more, same, "left").select(
+                *keys, "votes", "seats_max", F.transform("seats", _raise_at(h)).alias("seats")), "mix-seats")
     return base
 
 
