@@ -33,16 +33,51 @@ def shingle_set(words: list[bytes], n: int) -> set:
     return set(zip(*[words[i:] for i in range(n)], strict=False))
 
 
-@functools.lru_cache(maxsize=1 << 17)
-def _word_hash(word: bytes) -> int:
-    import xxhash
-    return xxhash.xxh64_intdigest(word)
+@functools.lru_cache(maxsize=1)
+def _byte_tables():
+    import numpy as np
+    rng = np.random.default_rng(SEED)
+    space = np.zeros(256, dtype=bool)
+    space[[9, 10, 11, 12, 13, 32]] = True
+    lower = np.arange(256)
+    lower[65:91] += 32
+    letters = rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return space, letters[lower], rng.integers(0, 1 << 63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _shingle_hashes(words: list[bytes], n: int):
-    """64-bit hashes of the shingles, repeats included."""
+def word_hashes(text: str | None, piece: int = 1 << 20):
+    """64-bit hashes of the words of :func:`split_words`, in order, a megabyte at a time."""
+    import numpy as np
+    space, letters, places = _byte_tables()
+    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    out, at = [], 0
+    while at < len(data):
+        end = min(at + piece, len(data))
+        while end < len(data) and not space[data[end]]:     # never cut a word
+            end += 1
+        x = data[at:end]
+        at = end
+        word = ~space[x]
+        start = word.copy()
+        start[1:] &= ~word[:-1]
+        starts = np.flatnonzero(start)
+        if not len(starts):
+            continue
+        idx = np.arange(len(x))
+        place = idx - np.maximum.accumulate(np.where(start, idx, 0))
+        value = letters[x] * places[place & 4095]
+        value[~word] = 0
+        h = np.add.reduceat(value, starts)
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(29)
+        out.append(h)
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+
+
+def _shingle_hashes(h, n: int):
+    """64-bit hashes of the shingles of words given by hash, repeats included."""
     import numpy as np
-    h = np.fromiter((_word_hash(w) for w in words), dtype=np.uint64, count=len(words))
     k = min(n, len(h))
     out = np.zeros(len(h) - k + 1, dtype=np.uint64)
     for i in range(k):
@@ -90,14 +125,14 @@ def _sign(batches: Iterator[pd.DataFrame], n: int, bands: int, rows: int) -> Ite
     for pdf in batches:
         sizes, keys, band_list, sigs = [], [], [], []
         for text in pdf["text"]:
-            words = split_words(text)
-            if not words:
+            words = word_hashes(text)
+            if not len(words):
                 sizes.append(0)
                 keys.append(None)
                 band_list.append(None)
                 sigs.append(None)
                 continue
-            keys.append(hashlib.blake2b(b" ".join(words), digest_size=16).hexdigest())
+            keys.append(hashlib.blake2b(words.tobytes(), digest_size=16).hexdigest())
             shingles = np.unique(_shingle_hashes(words, n))
             sizes.append(len(shingles))
             sig = signature(shingles, bands, rows)
