@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -29,6 +29,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def text_hash(text: Column) -> Column:
+    """With the id a key of a row's text (null as empty) that any scan can compute again."""
+    return F.xxhash64(F.coalesce(text, F.lit("")), F.octet_length(F.coalesce(text, F.lit(""))))
+
+
+def row_key(doc_id: Column, hashed: Column) -> Column:
+    """One join key of id and text hash; null ids are equal."""
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), hashed.cast("string"))
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back (cuts the lineage)."""
     base = ensure_checkpoint_dir(df.sparkSession)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, global_order, prepare, store, table
+from .common import WORD, global_order, prepare, store, table, text_hash
 
 WEIGHTS = (3, 1, 2)     # by place of the source in code point order, repeating
 SHARE_PCT = 150         # the mix holds this share of all words
@@ -130,10 +130,11 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share_pct: in
     in the input. No rows: no rows. Extra columns are ignored.
 
     Returns doc_id, size, source_size, target, taken, source, quotas (the
-    source's blocks by shard), passes (the document's words taken by pass).
+    source's blocks by shard), passes (the document's words taken by pass),
+    text_hash.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                       n_words(F.col(text_col)).alias("size"))
+                       n_words(F.col(text_col)).alias("size"), text_hash(F.col(text_col)).alias("text_hash"))
     rows = store(rows, "mix-sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, share_pct, max_repeats)
@@ -173,9 +174,10 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share_pct: in
     none = F.array(*[F.lit(0).cast("long")] * max_repeats)
     out = out.withColumn("passes", F.when(F.col("size") > 0, passes).otherwise(none))
     taken = F.aggregate("passes", F.lit(0).cast("long"), lambda s, x: s + x)
-    return out.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source", "quotas", "passes")
+    return out.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source", "quotas", "passes",
+                      "text_hash")
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return mix_sources(table(spark, sf_dir, "documents"))
+    return mix_sources(table(spark, sf_dir, "documents")).drop("text_hash")

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, prepare, store, table
+from .common import components, prepare, store, table, text_hash
 
 BANDS, ROWS = 36, 5       # a pair at 0.8 shares no band with probability 6e-7, one band only with 1e-5
 BATCH = 20                # signature entries compared at a time
@@ -201,7 +201,7 @@ class _Links:
         self.n, self.percent = n, percent
         self.survives = _bayes(least_matches(bands * rows, batch, percent, miss))
         self.reps = reps.select("uid", "doc_id", "n_shingles", "sig", "text_hash")
-        self.texts = docs.select(F.col(id_col).cast("long").alias("t_id"), _text_hash(F.col(text_col)).alias("t_hash"),
+        self.texts = docs.select(F.col(id_col).cast("long").alias("t_id"), text_hash(F.col(text_col)).alias("t_hash"),
                                  F.col(text_col).alias("text"))
 
     def check(self, pairs: DataFrame) -> DataFrame:
@@ -231,10 +231,6 @@ class _Links:
         return store(both.filter(linked("a_text", "b_text")).select("a", "b"), "neardup-links")
 
 
-def _text_hash(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text, F.lit("")), F.octet_length(F.coalesce(text, F.lit(""))))
-
-
 def _crowded_pairs(keyed: DataFrame, crowd: int) -> DataFrame:
     """All pairs (a, b) that share a key and differ in comp, however large a bucket is.
 
@@ -286,16 +282,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
 
     Returns uid (row number), doc_id, n_shingles, component_id, kept, rep
     (row number of the representative of equal texts), first (whether the
-    row is the one to keep of its class).
+    row is the one to keep of its class), text_hash (of the raw text).
     """
     numbered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                            F.monotonically_increasing_id().alias("uid"))
-    hashed = numbered.withColumn("text_hash", _text_hash(F.col("text")))
+    hashed = numbered.withColumn("text_hash", text_hash(F.col("text")))
     signed = store(hashed.mapInPandas(lambda it: _sign_with(it, shingle, bands, rows), _SIGNED + ", text_hash long"),
                    "neardup-signed")
     copies = signed.filter(F.col("copy_key").isNotNull()).groupBy("copy_key").agg(F.min("uid").alias("rep"))
-    members = store(signed.select("uid", "doc_id", "n_shingles", "copy_key").join(copies, "copy_key", "left")
-                    .select("uid", "doc_id", "n_shingles", F.coalesce("rep", "uid").alias("rep"),
+    members = store(signed.select("uid", "doc_id", "n_shingles", "copy_key", "text_hash").join(copies, "copy_key", "left")
+                    .select("uid", "doc_id", "n_shingles", "text_hash", F.coalesce("rep", "uid").alias("rep"),
                             F.col("copy_key").isNotNull().alias("has_words")), "neardup-members")
     chosen = members.filter(F.col("has_words") & (F.col("uid") == F.col("rep"))).select("uid")
     reps = store(signed.join(chosen, "uid", "left_semi").drop("copy_key"), "neardup-reps")
@@ -325,11 +321,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     lowest = nodes.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     out = nodes.join(lowest, "root")
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
-    firsts = store(out.select("uid", "doc_id", "n_shingles", "component_id", kept.alias("kept"), "rep", "root"),
+    firsts = store(out.select("uid", "doc_id", "n_shingles", "text_hash", "component_id", kept.alias("kept"), "rep", "root"),
                    "neardup-out")
     keepers = firsts.filter("kept").groupBy("root").agg(F.min("uid").alias("keeper"))
     return (firsts.join(keepers, "root", "left")
-            .select("uid", "doc_id", "n_shingles", "component_id", "kept", "rep",
+            .select("uid", "doc_id", "n_shingles", "component_id", "kept", "rep", "text_hash",
                     (F.col("uid") == F.coalesce("keeper", "rep")).alias("first")))
 
 

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prepare, store, table
+from .common import prepare, store, table, text_hash
 
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "id"             # kind of the spans that the method adds
@@ -106,7 +106,7 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, s
     return out
 
 
-_FOUND_SCHEMA = ("doc_id long, uid long, base array<struct<kind:string,start:long,end:long>>, "
+_FOUND_SCHEMA = ("doc_id long, uid long, text_hash long, base array<struct<kind:string,start:long,end:long>>, "
                  "candidates array<struct<context:string,value:string,start:long,end:long,seed:boolean>>")
 
 
@@ -119,7 +119,8 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             bases.append([{"kind": k, "start": s, "end": e} for k, s, e in base])
             cands.append([{"context": c, "value": hashlib.blake2b(v.encode(), digest_size=16).hexdigest(),
                            "start": s, "end": e, "seed": z} for c, v, s, e, z in candidates(text, base)])
-        yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "uid": pdf["uid"], "base": bases,
+        yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "uid": pdf["uid"], "text_hash": pdf["text_hash"],
+                            "base": bases,
                             "candidates": cands})
 
 
@@ -168,11 +169,11 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     id are told apart by row number and keep one result row each. Null ids
     are kept. Extra columns are ignored. No rows: no rows.
 
-    Returns doc_id, uid, base and found: arrays of (kind, start, end), code
+    Returns doc_id, uid, text_hash, base and found: arrays of (kind, start, end), code
     points, end exclusive, sorted by kind as listed and start.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
-                       F.monotonically_increasing_id().alias("uid"))
+                       F.monotonically_increasing_id().alias("uid"), text_hash(F.col(text_col)).alias("text_hash"))
     return _with_found(store(rows.mapInPandas(_scan, _FOUND_SCHEMA), "pii-scan"))
 
 
@@ -183,7 +184,7 @@ def _with_found(scan: DataFrame) -> DataFrame:
              .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("s")))
     found = F.transform(F.coalesce("s", F.array().cast("array<struct<start:long,end:long>>")),
                         lambda x: F.struct(F.lit(FOUND).alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
-    return scan.join(extra, "uid", "left").select("doc_id", "uid", "base", found.alias("found"))
+    return scan.join(extra, "uid", "left").select("doc_id", "uid", "text_hash", "base", found.alias("found"))
 
 
 def _joined(spans):
