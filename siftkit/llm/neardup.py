@@ -16,7 +16,8 @@ from .common import components, prepare, store, table, text_hash
 BANDS, ROWS = 36, 5       # a pair at 0.8 shares no band with probability 6e-7, one band only with 1e-5
 BATCH = 20                # signature entries compared at a time
 MISS = 1e-6               # chance at which a pair at the threshold may be pruned
-CROWD = 64                # buckets beyond this size are compared block by block
+CROWD = 512               # families beyond this size are compared block by block
+TURNS = 3                 # rounds in which documents are compared with a random member of their buckets
 SEED = 20240229
 
 
@@ -204,16 +205,9 @@ class _Links:
         self.texts = docs.select(F.col(id_col).cast("long").alias("t_id"), text_hash(F.col(text_col)).alias("t_hash"),
                                  F.col(text_col).alias("text"))
 
-    def check(self, pairs: DataFrame) -> DataFrame:
-        """Of the pairs (a, b) those whose full sets reach the threshold."""
-        side = [self.reps.select(*[F.col(c).alias(f"{x}_{c}") for c in ("uid", "n_shingles", "sig")]) for x in "ab"]
-        low, high = F.least("a_n_shingles", "b_n_shingles"), F.greatest("a_n_shingles", "b_n_shingles")
-        alive = (pairs.join(side[0], F.col("a") == F.col("a_uid")).join(side[1], F.col("b") == F.col("b_uid"))
-                 .filter(low * 100 >= high * self.percent)
-                 .filter(self.survives("a_sig", "b_sig")).select("a", "b"))
-        alive = store(alive, "neardup-alive")
-        ends = alive.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
-        needed = store(self.reps.join(ends, "uid").select("uid", F.col("doc_id").alias("n_id"),
+    def texts_of(self, uids: DataFrame) -> DataFrame:
+        """The texts (uid, text) of some representatives."""
+        needed = store(self.reps.join(uids, "uid").select("uid", F.col("doc_id").alias("n_id"),
                                                           F.col("text_hash").alias("n_hash")), "neardup-needed")
         # a fixed set of hash slots (2^20 at most, whatever the input) drops most other texts before the shuffle
         slot = F.pmod(F.xxhash64("n_hash"), F.lit(1 << 20))
@@ -223,7 +217,17 @@ class _Links:
         # one row for each needed text, however often documents repeat it
         texts = (needed.join(texts, F.col("n_id").eqNullSafe(F.col("t_id")) & (F.col("n_hash") == F.col("t_hash")))
                  .select("uid", "text").dropDuplicates(["uid"]))
-        texts = store(texts, "neardup-texts")
+        return store(texts, "neardup-texts")
+
+    def check(self, pairs: DataFrame) -> DataFrame:
+        """Of the pairs (a, b) those whose full sets reach the threshold."""
+        side = [self.reps.select(*[F.col(c).alias(f"{x}_{c}") for c in ("uid", "n_shingles", "sig")]) for x in "ab"]
+        low, high = F.least("a_n_shingles", "b_n_shingles"), F.greatest("a_n_shingles", "b_n_shingles")
+        alive = (pairs.join(side[0], F.col("a") == F.col("a_uid")).join(side[1], F.col("b") == F.col("b_uid"))
+                 .filter(low * 100 >= high * self.percent)
+                 .filter(self.survives("a_sig", "b_sig")).select("a", "b"))
+        alive = store(alive, "neardup-alive")
+        texts = self.texts_of(alive.select(F.explode(F.array("a", "b")).alias("uid")).distinct())
         left = texts.select(F.col("uid").alias("a"), F.col("text").alias("a_text"))
         right = texts.select(F.col("uid").alias("b"), F.col("text").alias("b_text"))
         linked = _exact(self.n, self.percent)
@@ -231,28 +235,106 @@ class _Links:
         return store(both.filter(linked("a_text", "b_text")).select("a", "b"), "neardup-links")
 
 
-def _crowded_pairs(keyed: DataFrame, crowd: int) -> DataFrame:
-    """All pairs (a, b) that share a key and differ in comp, however large a bucket is.
+def _mixed(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, uid, comp) of the buckets that still hold several components."""
+    placed = (shared.select("key", "uid").join(roots.select(F.col("node").alias("uid"), "root"), "uid", "left")
+              .select("key", "uid", F.coalesce("root", "uid").alias("comp")))
+    several = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi")
+    return store(placed.join(several.select("key"), "key"), "neardup-mixed")
+
+
+def _families(mixed: DataFrame, reps: DataFrame) -> DataFrame:
+    """(uid, comp, fam): documents of mixed buckets, joined into families.
 
-    ``keyed`` has (key, uid, comp). A bucket is cut into blocks of ``crowd``
-    rows by the hash of its rows; pairs of blocks are the units that are
-    shuffled, so a large bucket is compared by many tasks.
+    Members of a bucket that share two bands with one of its heads (the
+    first and a random one) are of one family, so two documents that share several
+    buckets are in one family but for a negligible chance, while chance
+    collisions of one band join nothing. Pairs stay in proportion to rows.
     """
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    sizes = sizes.filter("lo != hi").select("key", F.ceil(F.col("n") / crowd).cast("int").alias("blocks"))
-    rows = keyed.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
-    left = rows.select("key", F.col("uid").alias("a"), F.col("comp").alias("a_comp"), F.col("block").alias("i"),
-                       F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
-    right = rows.select(F.col("key").alias("r_key"), F.col("uid").alias("b"), F.col("comp").alias("b_comp"),
-                        F.col("block").alias("r_j"),
-                        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("r_i"))
-    same = ((F.col("key") == F.col("r_key")) & (F.col("i") == F.col("r_i")) & (F.col("j") == F.col("r_j"))
-            & (F.col("a") > F.col("b")) & (F.col("a_comp") != F.col("b_comp")))
-    return left.join(right, same).select("a", "b").distinct()
+    heads = mixed.groupBy("key").agg(F.min("uid").alias("h0"), F.min_by("uid", F.xxhash64("uid", F.lit(-1))).alias("h1"))
+    edges = (mixed.join(heads, "key").select("uid", F.explode(F.array("h0", "h1")).alias("head"))
+             .filter("uid != head").distinct())
+    bands = reps.select(F.col("uid").alias("b_uid"), "bands")
+    near = (edges.join(bands.withColumnRenamed("bands", "x"), F.col("uid") == F.col("b_uid")).drop("b_uid")
+            .join(bands.withColumnRenamed("bands", "y"), F.col("head") == F.col("b_uid"))
+            .filter(F.size(F.array_intersect("x", "y")) >= 2))
+    roots = components(near.select(F.col("uid").alias("a"), F.col("head").alias("b")), "neardup-families")
+    placed = mixed.select("uid", "comp").distinct().join(
+        roots.select(F.col("node").alias("uid"), F.col("root").alias("fam")), "uid")
+    several = placed.groupBy("fam").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                        F.count("*").alias("n")).filter("lo != hi").select("fam", "n")
+    return placed.join(several, "fam")
+
+
+def _compare_blocks(n: int, percent: int, bands: int, rows: int, batch: int, miss: float):
+    """Links between the documents of two blocks of a family (or within one), as a forest."""
+    steps = least_matches(bands * rows, batch, percent, miss)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        import numpy as np
+        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
+        pdf = pdf.drop_duplicates("uid").sort_values("uid", kind="stable").reset_index(drop=True)
+        block, comp, uid = (pdf[c].to_numpy() for c in ("block", "comp", "uid"))
+        hashes = [np.unique(_shingle_hashes(word_hashes(t), n)) for t in pdf["text"]]
+        size = np.array([len(h) for h in hashes], dtype=np.int64)
+        sig = np.stack([signature(h, bands, rows) for h in hashes])
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        alive = np.zeros((len(left), len(right)), dtype=bool)
+        for k, a in enumerate(left):                 # sizes, then batches of the signature under the bounds
+            ok = np.flatnonzero((comp[right] != comp[a]) & ((uid[right] > uid[a]) | (i != j))
+                                & (np.minimum(size[a], size[right]) * 100 >= np.maximum(size[a], size[right]) * percent))
+            got, at = np.zeros(len(right), dtype=np.int64), 0
+            for m, least in steps:
+                got[ok] += (sig[right[ok], at:m] == sig[a, at:m]).sum(axis=1)
+                ok, at = ok[got[ok] >= least], m
+            alive[k, ok] = True
+        ls, rs = np.flatnonzero(alive.any(axis=1)), np.flatnonzero(alive.any(axis=0))
+        out = []
+        if len(ls):
+            # shared shingles of the survivors, counted on the full sets a few thousand shingles at a time
+            docs = np.concatenate([left[ls], right[rs]])
+            owner = np.repeat(np.arange(len(docs)), size[docs])
+            value, code = np.unique(np.concatenate([hashes[d] for d in docs]), return_inverse=True)
+            order = np.argsort(code, kind="stable")
+            owner, code = owner[order], code[order]
+            both = np.zeros((len(ls), len(rs)))
+            for lo in range(0, len(value), 4096):
+                s, e = np.searchsorted(code, [lo, lo + 4096])
+                m = np.zeros((len(docs), 4096), dtype=np.float32)
+                m[owner[s:e], code[s:e] - lo] = 1
+                both += m[:len(ls)] @ m[len(ls):].T
+            both = np.rint(both).astype(np.int64)
+            union = size[left[ls]][:, None] + size[right[rs]][None, :] - both
+            x, y = np.nonzero(alive[np.ix_(ls, rs)] & (100 * both >= percent * union))
+            parent: dict[int, int] = {}
+
+            def root(c: int) -> int:
+                while parent.get(c, c) != c:
+                    c = parent[c]
+                return c
+
+            for a, b in zip(left[ls[x]], right[rs[y]], strict=True):   # links that join two components
+                ra, rb = root(int(comp[a])), root(int(comp[b]))
+                if ra != rb:
+                    parent[max(ra, rb)] = min(ra, rb)
+                    out.append((int(uid[a]), int(uid[b])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+    return run
+
+
+def _family_links(family: DataFrame, texts: DataFrame, crowd: int, compare) -> DataFrame:
+    """All links between different components of a family, block against block; ``texts`` has (uid, text)."""
+    cut = family.withColumn("blocks", F.ceil(F.col("n") / crowd).cast("int")).withColumn(
+        "block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    units = (cut.select("fam", "uid", "comp", "block", other)
+             .select("fam", "uid", "comp", "block", F.least("block", "other").alias("i"),
+                     F.greatest("block", "other").alias("j")))
+    return units.join(texts, "uid").groupBy("fam", "i", "j").applyInPandas(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
-                    batch: int = BATCH, miss: float = MISS, crowd: int = CROWD, id_col: str = "doc_id",
+                    batch: int = BATCH, miss: float = MISS, turns: int = TURNS, crowd: int = CROWD, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """Classes of documents linked by a Jaccard similarity of at least ``percent`` / 100 of their word shingles.
 
@@ -264,11 +346,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
        pairs than rows); pairs are pruned by size, then by posterior bounds
        over batches of signature entries, and survivors are confirmed on
        their full sets. Links give components.
-    3. Buckets that still hold several components give all their pairs from
-       different components that share two bands. Large buckets are cut
-       into blocks, so no task holds a whole bucket. Checked as before, these links
-       join the components. Pairs inside one component need no check: they
-       change nothing in the result.
+    3. In a few turns, documents are paired with a random member, of another component, of
+       their buckets; that merges the components of large groups with a
+       number of pairs in proportion to the documents.
+    4. What still shares buckets with other components forms families of
+       documents that share two bands. A family is cut into blocks, and
+       pairs of blocks are compared in tasks of bounded size: signatures under the
+       posterior bounds, then full sets. Only links that join components
+       leave a task, never pairs. Pairs inside one component need no check.
 
     A pair at the threshold is missed with a probability of about 1e-5
     (fewer than two shared bands, or pruned).
@@ -301,20 +386,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     links = _Links(docs, reps, shingle, percent, bands, rows, batch, miss, id_col, text_col)
 
     heads = shared.filter(F.col("uid") != F.col("head")).groupBy("uid").agg(F.min("head").alias("b"))
-    first_links = links.check(heads.select(F.col("uid").alias("a"), "b"))
-    roots = components(first_links, "neardup-one")
-    placed = (shared.join(roots.select(F.col("node").alias("uid"), "root"), "uid", "left")
-              .select("key", "uid", F.coalesce("root", "uid").alias("comp")))
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi")
-    placed = placed.join(mixed.select("key"), "key")
-    # the keys of every two bands that a document shares with other components
-    own = placed.groupBy("uid", "comp").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # at most `bands` keys
-    two = own.select("uid", "comp", F.explode(F.flatten(F.transform("keys", lambda x, i: F.transform(
-        F.slice(F.col("keys"), i + 2, F.lit(bands)), lambda y: F.xxhash64(x, y))))).alias("key"))
-    checked = first_links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    more = _crowded_pairs(store(two, "neardup-twokeys"), crowd)
-    second_links = links.check(store(more, "neardup-more"))
-    roots = components(checked.unionByName(second_links.select("a", "b")), "neardup-two")
+    found = links.check(heads.select(F.col("uid").alias("a"), "b"))
+    roots = components(found, "neardup-merge")
+    for turn in range(turns):
+        mixed = _mixed(shared, roots)
+        head = mixed.groupBy("key").agg(F.min_by(F.struct("uid", "comp"), F.xxhash64("uid", F.lit(turn))).alias("h"))
+        pairs = (mixed.join(head, "key").filter(F.col("comp") != F.col("h.comp"))
+                 .groupBy("uid", F.col("h.comp").alias("other")).agg(F.min("h.uid").alias("b")))
+        new = links.check(pairs.select(F.greatest("uid", "b").alias("a"), F.least("uid", "b").alias("b")).distinct())
+        found = store(found.unionByName(new), "neardup-found")
+        roots = components(found, "neardup-merge")
+    family = store(_families(_mixed(shared, roots), reps), "neardup-family")
+    last = store(_family_links(family, links.texts_of(family.select("uid")), crowd,
+                               _compare_blocks(shingle, percent, bands, rows, batch, miss)), "neardup-last")
+    roots = components(found.unionByName(last), "neardup-last")
 
     nodes = store(members.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
                   .withColumn("root", F.coalesce("root", "rep")), "neardup-nodes")
