@@ -158,7 +158,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share_pct: in
     start = F.col("before_size") - F.col("source_start")
     # block b stands at place (b * step + shift) mod n of its source's permutation; step is prime and n no multiple
     step, shift = F.when(F.col("n") % 1000003 == 0, F.lit(999983)).otherwise(F.lit(1000003)).cast("long"), \
-        F.pmod(F.xxhash64(F.coalesce("source", F.lit("")), F.lit(seed)), F.col("n"))
+        F.pmod(F.xxhash64(F.coalesce("source", F.lit("")), F.lit(seed)), F.greatest(F.col("n"), F.lit(1)))
     out = out.withColumns({"__a": start, "__b": start + F.col("size"), "__step": step, "__shift": shift})
 
     def words_in(b: Column) -> Column:
