@@ -114,7 +114,7 @@ def local_search(lengths: list[int], bins: list[list[int]], limit: int) -> list[
         room = limit - fill
         mine = sorted(bins[v], key=lambda i: (-lengths[i], i))
         for i in mine:                                           # move
-            fits = others[room[others] >= size[i]]
+            fits = others[(room[others] >= size[i]) & (fill[others] + size[i] > fill[v])]
             if len(fits):
                 put(i, int(fits[np.argmin(room[fits])]))
                 return True
