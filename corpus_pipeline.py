@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from siftkit.llm.common import prepare, row_key, store, table, text_hash
 from siftkit.llm.mixing import mix_sources
 from siftkit.llm.neardup import near_duplicates
 from siftkit.llm.packing import pack_documents
-from siftkit.llm.pii import find_pii, mask
+from siftkit.llm.pii import find_pii, mask_texts
 from siftkit.llm.quality import clean_lines, score_quality
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -47,13 +48,6 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _columns(_keyed(docs).join(keep, "__key", "left_semi").dropDuplicates(["__key"]), docs)
 
 
-@F.pandas_udf("string")
-def _masked(text, base, found):
-    import pandas as pd
-    return pd.Series([mask(t, [(s["kind"], s["start"], s["end"]) for s in [*b, *f]])
-                      for t, b, f in zip(text, base, found, strict=True)], dtype=object)
-
-
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every span of personal data is replaced by its kind (n_chars follows)."""
     prepare(spark)
@@ -62,7 +56,8 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.col("found").alias("__found")).dropDuplicates(["__key"])  # equal texts have equal spans
     hit = _keyed(docs).join(store(spans, "pipeline-spans"), "__key", "left")
     clean = hit.filter(F.col("__base").isNull())
-    dirty = hit.filter(F.col("__base").isNotNull()).withColumn("text", _masked("text", "__base", "__found"))
+    masked = F.pandas_udf(mask_texts, StringType())
+    dirty = hit.filter(F.col("__base").isNotNull()).withColumn("text", masked("text", "__base", "__found"))
     dirty = dirty.withColumn("n_chars", F.length("text").cast("long"))
     return _columns(clean, docs).unionByName(_columns(dirty, docs))
 

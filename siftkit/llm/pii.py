@@ -214,3 +214,9 @@ def mask(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
             out += [text[at:start], f"[{kind.upper()}]"]
         at = max(at, end)
     return "".join(out) + text[at:]
+
+
+def mask_texts(text: pd.Series, base: pd.Series, found: pd.Series) -> pd.Series:
+    """:func:`mask` over columns, for use as a pandas UDF."""
+    return pd.Series([mask(t, [(s["kind"], s["start"], s["end"]) for s in [*b, *f]])
+                      for t, b, f in zip(text, base, found, strict=True)], dtype=object)
