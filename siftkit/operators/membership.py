@@ -5,7 +5,8 @@ and a null key survives only when the set is empty. Spark plans the SQL form
 as a broadcast-only null-aware join, so the build side must fit in memory.
 Here the two facts that matter (set size, nulls in the set) come from a
 one-row scalar subquery and the membership itself is an ordinary
-``left_anti`` join that may shuffle.
+``left_anti`` join that may shuffle. Keys are made distinct first (with
+map-side partial results), so a hot key on the build side is one row.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 def semi_join(df: DataFrame, keys: DataFrame, left: Column, right: Column) -> DataFrame:
     """Rows whose key is IN the other relation (nulls never match)."""
-    probe = keys.select(right.alias("__member_key")).where(F.col("__member_key").isNotNull())
+    probe = keys.select(right.alias("__member_key")).where(F.col("__member_key").isNotNull()).distinct()
     return df.join(probe, left == F.col("__member_key"), "left_semi")
 
 
@@ -33,7 +34,7 @@ def null_aware_anti_join(df: DataFrame, keys: DataFrame, left: Column, right: Co
         (stats.getField("n") == 0)
         | ((stats.getField("nulls") == 0) & left.isNotNull())
     )
-    present = members.where(F.col("__member_key").isNotNull())
+    present = members.where(F.col("__member_key").isNotNull()).distinct()
     return survivors.join(present, left == F.col("__member_key"), "left_anti")
 
 

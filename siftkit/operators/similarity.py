@@ -55,6 +55,8 @@ def similarity_candidates(queries: DataFrame, key: str, text: str, dictionary: D
 
     ``threshold`` must be non-decreasing in the length and at most ``max_limit`` (<= 2).
     """
+    if max_limit > 2:
+        raise ValueError("deletion variants cover distances up to 2")
     # no null filter on the dictionary: a null value has null variants and never joins, and a
     # filter on a Python-normalised column would evaluate the normaliser twice
     d = (dictionary.select(F.col(value).alias("__val")).distinct()

@@ -23,10 +23,10 @@ def best_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     ``order`` must include tie-breakers that make the pick unique; rows with
     a null in the first ordering column are ranked last.
     """
-    fields = [o.alias(f"__o{i}") for i, o in enumerate(order)]
+    null_last = order[0].isNotNull() if descending else order[0].isNull()
+    fields = [null_last.alias("__null"), *[o.alias(f"__o{i}") for i, o in enumerate(order)]]
     fields += [F.col(p).alias(p) for p in payload]
     ranked = df.select(*keys, F.struct(*fields).alias("__best"))
-    ranked = ranked.where(F.col("__best.__o0").isNotNull())
     pick = F.max if descending else F.min
     out = ranked.groupBy(*keys).agg(pick("__best").alias("__best"))
     return out.select(*keys, *[F.col(f"__best.{p}").alias(p) for p in payload])

@@ -17,6 +17,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, LongType, StringType, StructField,
@@ -26,7 +27,7 @@ from ..config import JSON_MESSAGE, SKIP_MESSAGE, EnrichConfig
 from ..functions.paths import is_missing
 from ..operators.batching import Stage, assign_batches
 from ..operators.membership import in_either
-from ..sources.tables import read_partitions, write_partitions
+from ..sources.tables import materialize, read_partitions, write_partitions
 
 KW = "search_internal_keyword"
 
@@ -185,9 +186,12 @@ class RunStats:
 
 
 def finished_terms(spark: SparkSession, out_dir: str) -> DataFrame | None:
+    """The terms already in the output; None only where there is no output yet."""
     try:
         return read_partitions(spark, out_dir, RESULT_SCHEMA).select(KW)
-    except Exception:  # noqa: BLE001 - no output yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -196,34 +200,38 @@ def run_enrichment(batched: DataFrame, predict_fn: Predictor, out_dir: str, fres
                    partitions: int | None = None, csv_checkpoint_dir: str | None = None) -> RunStats:
     """Predict batch by batch into ``out_dir`` partitioned by ``batch_id``.
 
-    A fresh run truncates the output with its first batch; later batches
-    replace only their own partitions, so repeating a batch is idempotent.
-    A resumed run (``fresh=False``) skips terms already present in the
-    output. Each job commits its batches; ``max_jobs`` stops early (as an
-    interrupted run would). With ``csv_checkpoint_dir`` each written batch
-    is also copied, from the written table, to a header CSV partition (S6);
-    the predictor is not called again for it.
+    A fresh run truncates the output with its first batch; every other
+    batch is appended, so earlier rows stay whatever number new terms give
+    a batch. A resumed run (``fresh=False``) takes the set of finished terms
+    once, as a stored snapshot, and skips them. Each job commits its batches;
+    ``max_jobs`` stops early (as an interrupted run would). With ``csv_checkpoint_dir``
+    each written batch is also copied, from the written table, to a header
+    CSV partition (S6); the predictor is not called again for it.
     """
     spark = batched.sparkSession
     start = time.time()
     todo = batched
-    if not fresh:
-        done = finished_terms(spark, out_dir)
-        if done is not None:
-            todo = batched.join(done, KW, "left_anti")
-    # the list of batch numbers is small (terms / batch size); each is a distributed job
-    ids = sorted(r[0] for r in todo.select("batch_id").distinct().collect())
+    done = None if fresh else finished_terms(spark, out_dir)
+    if done is not None:
+        done = materialize(done.distinct(), "enrich-done")   # later writes do not change it
+        todo = batched.join(done, KW, "left_anti")
+    todo = materialize(todo, "enrich-todo")
+    sizes = {r["batch_id"]: r["count"] for r in todo.groupBy("batch_id").count().collect()}  # a row per batch
+    ids = sorted(sizes)
     groups = [ids[i:i + batches_per_job] for i in range(0, len(ids), batches_per_job)]
-    stats = RunStats()
+    stats = RunStats(terms=0)
     for j, group in enumerate(groups):
         if max_jobs is not None and j >= max_jobs:
             break
-        part = enrich_terms(todo.where(F.col("batch_id").isin(group)), predict_fn, partitions)
+        terms = todo.where(F.col("batch_id").isin(group))
+        part = enrich_terms(terms, predict_fn, partitions)
         write_partitions(part, out_dir, "batch_id", replace_all=fresh and j == 0)
         if csv_checkpoint_dir:
-            written = read_results(spark, out_dir).where(F.col("batch_id").isin(group))
+            written = read_results(spark, out_dir).where(F.col("batch_id").isin(group)).join(
+                terms.select(KW), KW, "left_semi")
             write_partitions(written, csv_checkpoint_dir, "batch_id", replace_all=fresh and j == 0, fmt="csv")
         stats.batches_written.extend(group)
+        stats.terms += sum(sizes[g] for g in group)
     stats.seconds = time.time() - start
     return stats
 

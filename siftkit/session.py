@@ -52,8 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
     Uses ``spark.checkpoint.dir`` (or a directory already set on the
-    context). Only when neither is set, as in local tests, a scratch folder
-    is created.
+    context). When neither is set, a local master (as in tests) gets a scratch
+    folder; on a cluster that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,6 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="siftkit-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -41,15 +41,15 @@ def write_partitions(df: DataFrame, path: str, partition_col: str, replace_all:
                      fmt: str = "parquet", header: bool = True) -> None:
     """Batch-partitioned output.
 
-    ``replace_all`` truncates the table (first batch of a fresh run);
-    otherwise only the partitions present in ``df`` are replaced, so writing
-    a batch twice never duplicates it.
+    ``replace_all`` truncates the table (first batch of a fresh run),
+    whatever overwrite mode the session has; otherwise rows are appended and
+    earlier rows, also those of the same partition, stay.
     """
     writer = df.write.partitionBy(partition_col)
     if replace_all:
-        writer = writer.mode("overwrite")
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
     else:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = writer.mode("append")
     if fmt == "csv":
         writer.option("header", header).csv(path)
     else:

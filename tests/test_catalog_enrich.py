@@ -105,3 +105,21 @@ def test_resume_writes_every_batch_once(spark):
     assert res.count() == 23 and res.select("search_internal_keyword").distinct().count() == 23
     csv = enrich.read_results(spark, csv_dir, fmt="csv")
     assert sorted(map(tuple, csv.collect()), key=repr) == sorted(map(tuple, res.collect()), key=repr)
+
+
+def test_resume_with_new_terms_keeps_finished_rows(spark):
+    kw = "search_internal_keyword"
+    stage = lambda df, n: materialize(df, n)
+    cfg = enrich.EnrichConfig(batch_size=2)
+    out_dir = f"{ensure_checkpoint_dir(spark)}/test-enrich-{uuid.uuid4().hex}"
+
+    def batches(words):
+        return stage(enrich.term_batches(spark.createDataFrame([(w,) for w in words], f"{kw} string"), stage, cfg), "tb")
+
+    enrich.run_enrichment(batches("bdfh"), _predict, out_dir, fresh=True)
+    before = set(map(tuple, enrich.read_results(spark, out_dir).collect()))
+    stats = enrich.run_enrichment(batches("abcdfh"), _predict, out_dir, fresh=False)
+    after = list(map(tuple, enrich.read_results(spark, out_dir).collect()))
+    assert before <= set(after) and len(after) == 6
+    assert sorted(r[kw] for r in enrich.read_results(spark, out_dir).collect()) == list("abcdfh")
+    assert stats.terms == 2 and stats.timing()["records_per_sec"] > 0
