@@ -31,14 +31,17 @@ def app_version(account_id: Column, version: Column, cfg: SearchConfig) -> Colum
     return F.when(account_id == F.lit(cfg.web_account), F.lit(cfg.web_app_version)).otherwise(version)
 
 
-def utc_wall_clock(ts: Column, dtype: DataType, session_zone: str = "UTC") -> Column:
+def utc_wall_clock(ts: Column, dtype: DataType) -> Column:
     """The UTC wall-clock of an event time as TIMESTAMP_NTZ.
 
-    Zone-less input is taken as UTC already; an instant is rendered in UTC.
+    Zone-less input is taken as UTC already; an instant is rendered in UTC
+    from its microseconds, so the session zone and its clock changes play no part.
     """
     if isinstance(dtype, TimestampNTZType):
         return ts
-    return F.convert_timezone(F.lit(session_zone), F.lit("UTC"), ts.cast("timestamp_ntz"))
+    secs = (F.unix_micros(ts).cast("decimal(18,0)") / F.lit(1000000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
 
 
 def local_datetime(utc_ts: Column, zone: str) -> Column:
@@ -67,15 +70,21 @@ def local_midnight_utc(day: _dt.date, zone: str) -> str:
     return utc.strftime("%Y-%m-%d %H:%M:%S")
 
 
-def local_date_at_least(utc_ts: Column, day: _dt.date, zone: str) -> Column:
+def local_date_at_least(ts: Column, dtype: DataType, day: _dt.date, zone: str) -> Column:
     """DATE(ts, zone) >= day, written so the Parquet scan can use it.
 
-    The first conjunct is a plain bound on the stored column (pushed down as
-    a Parquet filter); the second keeps the result exact in zones whose
-    offset changes around midnight.
+    ``ts`` is the stored column and ``dtype`` its type. The first conjunct is
+    a plain bound on that column (pushed down as a Parquet filter): a
+    zone-less literal for TIMESTAMP_NTZ, an instant for TIMESTAMP. The second
+    keeps the result exact in zones whose offset changes around midnight.
     """
-    bound = F.lit(local_midnight_utc(day, zone)).cast("timestamp_ntz")
-    return (utc_ts >= bound) & (local_date(utc_ts, zone) >= F.lit(day))
+    midnight = local_midnight_utc(day, zone)
+    if isinstance(dtype, TimestampNTZType):
+        bound = F.lit(midnight).cast("timestamp_ntz")
+    else:
+        utc = _dt.datetime.fromisoformat(midnight).replace(tzinfo=_dt.timezone.utc)
+        bound = F.timestamp_seconds(F.lit(int(utc.timestamp())))
+    return (ts >= bound) & (local_date(utc_wall_clock(ts, dtype), zone) >= F.lit(day))
 
 
 def date_between(ts: Column, date_from: _dt.date, date_to: _dt.date) -> Column:

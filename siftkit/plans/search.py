@@ -33,14 +33,13 @@ _SKU, _KV = 0, 1
 
 
 def _utc(raw: DataFrame) -> Column:
-    session_zone = raw.sparkSession.conf.get("spark.sql.session.timeZone", "UTC")
-    return utc_wall_clock(F.col("datetime"), raw.schema["datetime"].dataType, session_zone)
+    return utc_wall_clock(F.col("datetime"), raw.schema["datetime"].dataType)
 
 
 def row_filter(raw: DataFrame, cfg: SearchConfig) -> Column:
     """Local date bound, accounts (case-folded), page types, search id, result count."""
     return (
-        local_date_at_least(_utc(raw), cfg.date_from, cfg.zone)
+        local_date_at_least(F.col("datetime"), raw.schema["datetime"].dataType, cfg.date_from, cfg.zone)
         & F.upper(F.col("account_id")).isin(*cfg.accounts)
         & F.col("catalog_page_type").isin(*cfg.page_types)
         & valid_token(F.col("search_id"), cfg.invalid_search_ids)
