@@ -79,17 +79,25 @@ def _call_predictor(pdf: pd.DataFrame, predict_fn: Predictor) -> pd.DataFrame:
     skip = terms.isna() | (terms == "")
     out.loc[skip, "error_type"] = "SKIP"
     out.loc[skip, "error_message"] = SKIP_MESSAGE
-    todo = pdf.loc[~skip, [KW]]
-    if len(todo):
+    todo = [pdf.index[~skip]]
+    while todo:   # a failing call is repeated in halves, so only the terms at fault become ERROR rows
+        part = todo.pop()
+        if not len(part):
+            continue
         try:
-            res = predict_fn(todo.reset_index(drop=True))
-            res.index = todo.index
-            for col in ("response", "error_type", "error_message"):
-                if col in res:
-                    out.loc[todo.index, col] = res[col].astype(object).where(res[col].notna(), None)
+            res = predict_fn(pdf.loc[part, [KW]].reset_index(drop=True))
+            res.index = part
         except Exception as exc:  # noqa: BLE001 - any predictor failure becomes an ERROR row
-            out.loc[todo.index, "error_type"] = "ERROR"
-            out.loc[todo.index, "error_message"] = str(exc)
+            if len(part) > 1:
+                half = len(part) // 2
+                todo += [part[half:], part[:half]]
+            else:
+                out.loc[part, "error_type"] = "ERROR"
+                out.loc[part, "error_message"] = str(exc)
+            continue
+        for col in ("response", "error_type", "error_message"):
+            if col in res:
+                out.loc[part, col] = res[col].astype(object).where(res[col].notna(), None)
     return out
 
 

@@ -123,3 +123,17 @@ def test_resume_with_new_terms_keeps_finished_rows(spark):
     assert before <= set(after) and len(after) == 6
     assert sorted(r[kw] for r in enrich.read_results(spark, out_dir).collect()) == list("abcdfh")
     assert stats.terms == 2 and stats.timing()["records_per_sec"] > 0
+
+
+def test_a_failing_term_does_not_spoil_its_batch():
+    import pandas as pd
+
+    def predict(pdf):
+        if (pdf["search_internal_keyword"] == "bad").any():
+            raise RuntimeError("bad term")
+        return pd.DataFrame({"response": pdf["search_internal_keyword"].str.upper()})
+
+    terms = ["a", "bad", "b", None, "", "c"]
+    out = enrich._call_predictor(pd.DataFrame({"search_internal_keyword": terms, "batch_id": 0}), predict)
+    assert out["response"].tolist() == ["A", None, "B", None, None, "C"]
+    assert out["error_type"].tolist() == [None, "ERROR", None, "SKIP", "SKIP", None]
