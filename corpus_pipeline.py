@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from siftkit.llm.common import prepare, row_key, store, table, text_hash
-from siftkit.llm.mixing import mix_sources
+from siftkit.llm.mixing import mix_documents
 from siftkit.llm.neardup import near_duplicates
 from siftkit.llm.packing import pack_documents
 from siftkit.llm.pii import find_pii, mask_texts
@@ -63,11 +63,10 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents by the mix: one copy for each pass that takes half of the document's words or more."""
+    """Whole documents by the mix: a source's words come within half a document of what it is allotted."""
     prepare(spark)
-    mixed = mix_sources(docs)
-    copies = F.size(F.filter("passes", lambda x: (x > 0) & (x * 2 >= F.col("size"))))
-    plan = (mixed.select(row_key(F.col("doc_id"), F.col("text_hash")).alias("__key"), copies.alias("copies"))
+    mixed = mix_documents(docs)
+    plan = (mixed.select(row_key(F.col("doc_id"), F.col("text_hash")).alias("__key"), "copies")
             .groupBy("__key").agg(F.sum("copies").cast("int").alias("__copies")).filter("__copies > 0"))
     taken = _keyed(docs).join(store(plan, "pipeline-mix"), "__key").dropDuplicates(["__key"])
     return _columns(taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))), docs)

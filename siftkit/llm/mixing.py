@@ -108,6 +108,39 @@ def _raise_at(h: int):
     return lambda x, i: F.when(i == h, x + F.coalesce(F.col("__more"), F.lit(0))).otherwise(x)
 
 
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+                       n_words(F.col(text_col)).alias("size"), text_hash(F.col(text_col)).alias("text_hash"))
+    return store(rows, "mix-sizes")
+
+
+def _quotas(rows: DataFrame, weights: Sequence[int], share_pct: int, max_repeats: int, block: int,
+            shards: int) -> DataFrame:
+    """One row per source: source_size, target, n (its blocks), quota (blocks dealt to it), quotas (by shard)."""
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    targets = source_targets(sizes, weights, share_pct, max_repeats)
+    parties = store(targets.select("source", "source_size", "target", F.col("target").alias("votes"),
+                                   (F.ceil(F.col("source_size") / block) * max_repeats).alias("seats_max")),
+                    "mix-targets")
+    n_blocks = parties.agg(F.floor(F.sum("target") / block + F.lit(0.5))).first()[0] or 0
+    plan = sainte_lague(parties, [n_blocks * (j + 1) // shards for j in range(shards)])
+    return plan.select(
+        "source", "source_size", "target", F.ceil(F.col("source_size") / block).alias("n"),
+        F.element_at("seats", -1).alias("quota"),
+        F.transform("seats", lambda x, i: x - F.when(i > 0, F.get("seats", i - 1)).otherwise(0)).alias("quotas"))
+
+
+def _streams(rows: DataFrame, plan: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The documents of each source in ``order``: before_size - source_start words of the source stand before one."""
+    placed = global_order(rows.withColumn("__null", F.col("source").isNull().cast("int")),
+                          ["__null", "source", *order], ["size"], "mix-stream")
+    placed = store(placed.drop("idx", "__null"), "mix-place")
+    first = placed.groupBy("source").agg(F.min("before_size").alias("source_start"))
+    info = store(plan.join(first, plan["source"].eqNullSafe(first["source"])).drop(first["source"]), "mix-plan")
+    info = info.withColumnRenamed("source", "__source")
+    return placed.join(info, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+
+
 def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share_pct: int = SHARE_PCT,
                 max_repeats: int = MAX_REPEATS, block: int = BLOCK, shards: int = SHARDS, seed: int = 17,
                 id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -133,28 +166,9 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share_pct: in
     source's blocks by shard), passes (the document's words taken by pass),
     text_hash.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                       n_words(F.col(text_col)).alias("size"), text_hash(F.col(text_col)).alias("text_hash"))
-    rows = store(rows, "mix-sizes")
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(sizes, weights, share_pct, max_repeats)
-    parties = store(targets.select("source", "source_size", "target", F.col("target").alias("votes"),
-                                   (F.ceil(F.col("source_size") / block) * max_repeats).alias("seats_max")),
-                    "mix-targets")
-    n_blocks = parties.agg(F.floor(F.sum("target") / block + F.lit(0.5))).first()[0] or 0
-    plan = sainte_lague(parties, [n_blocks * (j + 1) // shards for j in range(shards)])
-    plan = plan.select(
-        "source", "source_size", "target", F.ceil(F.col("source_size") / block).alias("n"),
-        F.element_at("seats", -1).alias("quota"),
-        F.transform("seats", lambda x, i: x - F.when(i > 0, F.get("seats", i - 1)).otherwise(0)).alias("quotas"))
-
-    placed = global_order(rows.withColumn("__null", F.col("source").isNull().cast("int")),
-                          ["__null", "source", "doc_id", "size"], ["size"], "mix-stream")
-    placed = store(placed.drop("idx", "__null"), "mix-place")
-    first = placed.groupBy("source").agg(F.min("before_size").alias("source_start"))
-    info = store(plan.join(first, plan["source"].eqNullSafe(first["source"])).drop(first["source"]), "mix-plan")
-    info = info.withColumnRenamed("source", "__source")
-    out = placed.join(info, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+    rows = _sized(docs, id_col, text_col, source_col)
+    plan = _quotas(rows, weights, share_pct, max_repeats, block, shards)
+    out = _streams(rows, plan, ["doc_id", "size"])
     start = F.col("before_size") - F.col("source_start")
     # block b stands at place (b * step + shift) mod n of its source's permutation; step is prime and n no multiple
     step, shift = F.when(F.col("n") % 1000003 == 0, F.lit(999983)).otherwise(F.lit(1000003)).cast("long"), \
@@ -178,6 +192,34 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share_pct: in
                       "text_hash")
 
 
+def mix_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share_pct: int = SHARE_PCT,
+                  max_repeats: int = MAX_REPEATS, block: int = BLOCK, seed: int = 17, id_col: str = "doc_id",
+                  text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The mix of :func:`mix_sources` in whole documents.
+
+    A source's quota of blocks, in words, is filled with its documents in
+    seeded random order, pass after pass over all of them. The document at
+    the end of the quota is taken if at least half of it lies inside, so
+    what is taken misses the quota by at most half a document, whatever the
+    lengths; a source whose quota is under half of its first document gives
+    nothing. Documents without words are never taken.
+
+    Returns doc_id, size, source_size, target, quota (words), copies, source,
+    text_hash.
+    """
+    rows = _sized(docs, id_col, text_col, source_col)
+    plan = _quotas(rows, weights, share_pct, max_repeats, block, 1)
+    rows = rows.withColumn("__draw", F.xxhash64("doc_id", "text_hash", F.lit(seed)))
+    out = _streams(rows, plan, ["__draw", "doc_id", "text_hash"])
+    start = F.col("before_size") - F.col("source_start")
+    quota = F.least(F.col("quota") * block, F.col("source_size") * max_repeats)
+    inside = [(2 * (p * F.col("source_size") + start) + F.col("size") <= 2 * quota).cast("int")
+              for p in range(max_repeats)]
+    copies = F.when(F.col("size") > 0, sum(inside[1:], inside[0])).otherwise(0)
+    return out.select("doc_id", "size", "source_size", "target", quota.alias("quota"), copies.alias("copies"),
+                      "source", "text_hash")
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return mix_sources(table(spark, sf_dir, "documents")).drop("text_hash")
