@@ -38,22 +38,26 @@ def _keys(passes: int, bits: int):
     return run
 
 
-def _compare(window: int, block: int, min_cosine: float):
-    """Links of one block of one pass: counts of links no earlier pass has seen, and a forest of all links."""
+def _units(pdf: pd.DataFrame):
+    """The vectors of a frame at length 1, padded with zeros to the longest."""
+    import numpy as np
+    dims = pdf["vector"].map(len).to_numpy()
+    x = np.zeros((len(pdf), int(dims.max())))
+    for i, v in enumerate(pdf["vector"]):
+        x[i, :dims[i]] = v
+    x /= np.abs(x).max(axis=1, keepdims=True)          # keeps squares of extreme values finite
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return x, dims
+
+
+def _compare(window: int, min_cosine: float):
+    """A forest of the links of one block of one pass."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         import numpy as np
-        this = int(pdf["pass"].iloc[0])
         pdf = pdf.sort_values("idx", kind="stable").reset_index(drop=True)
         own = (pdf["own"]).to_numpy(bool)
-        label, node, size = (pdf[c].to_numpy() for c in ("label", "node", "size"))
-        dims = pdf["vector"].map(len).to_numpy()
-        places = np.stack([np.asarray(p, dtype=np.int64) for p in pdf["places"]])
-        x = np.zeros((len(pdf), int(dims.max())))
-        for i, v in enumerate(pdf["vector"]):
-            x[i, :dims[i]] = v
-        x /= np.abs(x).max(axis=1, keepdims=True)          # keeps squares of extreme values finite
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
-        counts = np.zeros(len(pdf), dtype=np.int64)
+        label, node = (pdf[c].to_numpy() for c in ("label", "node"))
+        x, dims = _units(pdf)
         parent = np.arange(len(pdf))
 
         def root(i: int) -> int:
@@ -70,36 +74,76 @@ def _compare(window: int, block: int, min_cosine: float):
             i, j = np.nonzero(close)
             i, j = i + a, j + a
             ok = (j > i) & (j - i <= window)
-            i, j = i[ok], j[ok]
-            for u, v in zip(i.tolist(), j.tolist(), strict=True):
+            for u, v in zip(i[ok].tolist(), j[ok].tolist(), strict=True):
                 ru, rv = root(u), root(v)
                 if ru != rv:
                     parent[max(ru, rv)] = min(ru, rv)
-            if this:   # a pair within the window of an earlier pass was counted there
-                seen = (np.abs(places[i, :this] - places[j, :this]) <= window).any(axis=1)
-                i, j = i[~seen], j[~seen]
-            np.add.at(counts, i, size[j])
-            np.add.at(counts, j, size[i])
         roots = np.array([root(i) for i in range(len(pdf))])
-        keep = (counts > 0) | (roots != np.arange(len(pdf)))
-        return pd.DataFrame({"node": node[keep], "links": counts[keep], "other": node[roots[keep]]})
+        keep = roots != np.arange(len(pdf))
+        return pd.DataFrame({"node": node[keep], "other": node[roots[keep]]})
+    return run
+
+
+def _count(min_cosine: float):
+    """Links of one pair of blocks: each row's, with the other block or within the one block, inside its component."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        import numpy as np
+        one = int(pdf["low"].iloc[0]) == int(pdf["high"].iloc[0])
+        # one order of the rows whatever the task got first, so that a pair's product is the same both ways
+        pdf = pdf.sort_values(["home", "idx"], kind="stable").reset_index(drop=True)
+        node, size, part = (pdf[c].to_numpy() for c in ("node", "size", "root"))
+        x, _ = _units(pdf)
+        left = np.arange(len(pdf)) if one else np.flatnonzero(pdf["home"] == pdf["low"])
+        right = left if one else np.flatnonzero(pdf["home"] == pdf["high"])
+        counts = np.zeros(len(pdf), dtype=np.int64)
+        for a in range(0, len(left), 1024):
+            at = left[a:a + 1024]
+            close = (x[at] @ x[right].T >= min_cosine) & (part[at][:, None] == part[right][None, :])
+            if one:
+                close &= at[:, None] < right[None, :]
+            counts[at] += close @ size[right]
+            counts[right] += close.T @ size[at]
+        keep = counts > 0
+        return pd.DataFrame({"node": node[keep], "links": counts[keep]})
     return run
 
 
+def _links(nodes: DataFrame, roots: DataFrame, min_cosine: float, block: int) -> DataFrame:
+    """The links of each node with all others of its component: (node, links).
+
+    The nodes in order of component are cut into blocks of fixed size; a
+    component is compared block against block, each pair of its blocks a
+    task of its own, whatever its size.
+    """
+    placed = global_order(nodes.drop("keys").join(roots, "node"), ["root", "node"], [], "vec-parts")
+    placed = store(placed.withColumn("home", F.floor(F.col("idx") / block)), "vec-blocks")
+    # components in more than one block: no more than there are blocks, which bounds their broadcast
+    wide = (placed.groupBy("root").agg(F.min("home").alias("from"), F.max("home").alias("to"))
+            .filter(F.col("from") < F.col("to")))
+    dealt = placed.join(F.broadcast(wide), "root", "left").withColumn("other", F.explode(F.sequence(
+        F.coalesce("from", "home"), F.coalesce("to", "home"))))
+    dealt = dealt.select("node", "size", "vector", "root", "idx", "home", F.least("home", "other").alias("low"),
+                         F.greatest("home", "other").alias("high"))
+    counted = store(dealt.groupBy("low", "high").applyInPandas(_count(min_cosine), "node long, links long"), "vec-links")
+    return counted.groupBy("node").agg(F.sum("links").alias("links"))
+
+
 def near_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, passes: int = PASSES, bits: int = BITS,
                  window: int = WINDOW, block: int = BLOCK, id_col: str = "vec_id", vector_col: str = "embedding",
                  label_col: str = "label") -> DataFrame:
     """Link vectors of one label whose cosine is at least ``min_cosine``, found in sorted projection passes.
 
     Equal vectors of a label collapse to one node first. Each pass sorts all
-    nodes by (label, concatenated signs of ``bits`` random projections); a
-    node is compared, in double precision, with the ``window`` nodes after
-    it. The order is cut into blocks of fixed size that overlap by the
-    window, so a large group of near copies is spread over many tasks. A
-    pair met in several passes counts once: a vector carries its places in
-    all passes, which tell whether an earlier pass had the pair. A block
-    gives one count and one forest edge a row, never its pairs. Components
-    are the union over all passes.
+    nodes by (label, concatenated signs of ``bits`` random projections),
+    equal keys in an order drawn anew for the pass; a node is compared, in
+    double precision, with the ``window`` nodes after it. The order is cut
+    into blocks of fixed size that overlap by the window, so a large group
+    of near copies is spread over many tasks. A block gives a forest of its
+    links, never its pairs. Components are the union over all passes. Links
+    are then counted between all nodes of a component (:func:`_links`), so a
+    dense group that fills the windows loses none; a link is missed only if
+    no pass joins the components of its ends. That work grows with the
+    square of a component's size.
 
     Vectors that are null, empty, zero, or hold null or non-finite
     components, or have a null label, link with nothing. Vectors of
@@ -129,14 +173,11 @@ def near_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, passes: int
     nodes = store(nodes.select(F.col("uid").alias("node"), "size", "label", "vector")
                   .mapInPandas(_keys(passes, bits), "node long, size long, label long, vector array<double>, "
                                                     "keys array<long>"), "vec-nodes")
-    order = global_order(nodes.select("node", "label", F.posexplode("keys").alias("pass", "key")),
-                         ["pass", "label", "key", "node"], [], "vec-order")
+    order = global_order(nodes.select("node", "label", F.posexplode("keys").alias("pass", "key"))
+                         .withColumn("draw", F.xxhash64("node", "pass")),
+                         ["pass", "label", "key", "draw"], [], "vec-order")
     order = store(order.select("node", "pass", "idx"), "vec-places")
-    # a pass is a run of the order; one place array per node, by pass
-    places = order.groupBy("node").agg(F.transform(F.sort_array(F.collect_list(F.struct("pass", "idx"))),
-                                                   lambda s: s["idx"]).alias("places"))
-    dealt = (nodes.drop("keys").join(places, "node")
-             .select("node", "size", "label", "vector", "places", F.posexplode("places").alias("pass", "idx")))
+    dealt = nodes.drop("keys", "size").join(order, "node")
     # a row belongs to its block, and to the blocks before as long as their windows reach it
     reach = -(-window // block)
     home = F.floor(F.col("idx") / block)
@@ -144,9 +185,9 @@ def near_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, passes: int
     dealt = dealt.withColumn("block", F.explode(F.sequence(first, home))).withColumn("own", F.col("block") == home)
     dealt = dealt.filter("own" if not window else (F.col("own") | (F.col("idx") < (F.col("block") + 1) * block + window)))
     out = store(dealt.groupBy("pass", "block").applyInPandas(
-        _compare(window, block, min_cosine), "node long, links long, other long"), "vec-links")
-    links = out.groupBy("node").agg(F.sum("links").alias("links"))
-    roots = components(out.filter("node != other").select(F.col("node").alias("a"), F.col("other").alias("b")), "vec")
+        _compare(window, min_cosine), "node long, other long"), "vec-forest")
+    roots = components(out.select(F.col("node").alias("a"), F.col("other").alias("b")), "vec")
+    links = _links(nodes, roots, min_cosine, block)
     full = store(members.join(links, "node", "left")
                  .join(roots.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node")),
                  "vec-full")

@@ -212,6 +212,22 @@ def test_vectors_against_brute_force(spark):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_of_a_dense_group_lose_no_link(spark):
+    import numpy as np
+    rng = np.random.default_rng(6)
+    # with a window of 8, one group of 600 near vectors, one of 200 very near ones whose keys are equal, and pairs
+    groups = [(600, 0.03), (200, 1e-6), *[(2, 0.03)] * 40]
+    x = np.concatenate([rng.standard_normal(32) + e * rng.standard_normal((n, 32)) for n, e in groups])
+    x = x[rng.permutation(len(x))]
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)],
+                               "vec_id long, embedding array<double>, label int").repartition(3)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = ((unit @ unit.T >= 0.93).sum(axis=1) - 1).tolist()
+    got = {r["vec_id"]: r["n_links"] for r in vectors.near_vectors(df, window=8, block=64).collect()}
+    assert sorted(set(want)) == [1, 199, 599]
+    assert [got[i] for i in range(len(x))] == want
+
+
 def test_page_text(spark):
     page = ('<html><head><title>T</title><style>p{}</style></head><body><nav><ul><li>Menu</li></ul></nav>'
             '<div class="ad">Buy</div><article><h1>Head &amp; more</h1><p>One\n two&nbsp;<b>three<br>four</p>'
