@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .exactdup import op13_content_sort
 from .html import op7_host_suffix_text
 from .licenses import MIN_DICE_PCT, TEMPLATES, bigrams, op5_license_dice
 from .mixing import op2_source_mix
@@ -19,13 +20,16 @@ from .quality import (
     STOCK_LINE,
     op3_line_quality,
 )
+from .resampling import BUCKETS, DRAW_PCT, MIN_WORDS, SEED, op12_importance_draw
 from .sharding import op1_byte_shards
 from .toxicity import op4_toxicity
 from .vectors import op6_projection_passes
+from .whitening import op11_rank_one_whitening
 
 QUERIES = {f.__name__: f for f in (
     op1_byte_shards, op2_source_mix, op3_line_quality, op4_toxicity, op5_license_dice, op6_projection_passes,
-    op7_host_suffix_text, op8_contextual_pii, op9_bayes_minhash, op10_swap_packing)}
+    op7_host_suffix_text, op8_contextual_pii, op9_bayes_minhash, op10_swap_packing,
+    op11_rank_one_whitening, op12_importance_draw, op13_content_sort)}
 
 
 def _quoted(words) -> str:
@@ -87,4 +91,49 @@ SELECT d.doc_id, best.license, best.dice::INTEGER AS dice, coalesce(best.n, 0)::
 FROM d LEFT JOIN best USING (rid)"""
 
 
-ORACLE = {"op3_line_quality": quality_sql(), "op5_license_dice": license_sql()}
+def resampling_sql() -> str:
+    words = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+    return rf"""
+WITH RECURSIVE crc AS (  -- the byte table of CRC-32
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce([b, 0, 1, 2, 3, 4, 5, 6, 7],
+                          lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+    FROM (SELECT unnest(range(256))::BIGINT AS b))),
+d AS (SELECT row_number() OVER () AS rid, doc_id, {words} AS words FROM documents),
+dw AS (SELECT rid, word, count(*) AS n FROM (SELECT rid, unnest(words) AS word FROM d) GROUP BY ALL),
+bw AS (SELECT word, count(*) AS n FROM (SELECT unnest({words}) AS word FROM benchmark) GROUP BY ALL),
+bytes AS (SELECT word, list_transform(regexp_extract_all(hex(encode(word)), '..'), lambda h: ('0x' || h)::BIGINT) AS x
+          FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+k AS (SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, x),
+                                   lambda c, y: xor(c // 256, crc.t[xor(c % 256, y) + 1])), 4294967295) % {BUCKETS} AS bucket
+      FROM bytes, crc),
+s AS (SELECT bucket, sum(n) AS n FROM dw JOIN k USING (word) GROUP BY 1),
+t AS (SELECT bucket, sum(n) AS n FROM bw JOIN k USING (word) GROUP BY 1),
+total AS (SELECT coalesce((SELECT sum(n) FROM s), 0) AS s, coalesce((SELECT sum(n) FROM t), 0) AS t),
+gain AS (SELECT s.bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1) * (total.s + {BUCKETS}))::DOUBLE
+                                          / ((s.n + 1) * (total.t + {BUCKETS}))::DOUBLE))::BIGINT AS g
+         FROM s LEFT JOIN t USING (bucket), total),
+weight AS (SELECT rid, sum(n * g)::BIGINT AS g, sum(n)::BIGINT AS n FROM dw JOIN k USING (word) JOIN gain USING (bucket)
+           GROUP BY rid),
+scored AS (
+  SELECT d.rid, doc_id, len(words) AS n_words, len(words)::BIGINT AS n_features,
+         coalesce(g // n - CASE WHEN g % n < 0 THEN 1 ELSE 0 END, 0) AS weight,
+         floor(-1000 * ln(-ln((('0x' || left(sha256('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 8))::BIGINT + 0.5::DOUBLE)
+                              / 4294967296::DOUBLE)))::BIGINT AS noise
+  FROM d LEFT JOIN weight USING (rid)),
+placed AS (SELECT *, weight + noise AS score, row_number() OVER (
+             PARTITION BY n_words >= {MIN_WORDS} ORDER BY weight + noise DESC, doc_id) AS place,
+             count(*) FILTER (n_words >= {MIN_WORDS}) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= {MIN_WORDS} AND place <= {DRAW_PCT} * n // 100 THEN place END AS rank
+FROM placed"""
+
+
+# exact duplicates: classes by text, the largest id stays
+CONTENT_SQL = """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
+       sha256(text) AS text_sha256
+FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents) WINDOW w AS (PARTITION BY text)"""
+
+ORACLE = {"op3_line_quality": quality_sql(), "op5_license_dice": license_sql(),
+          "op12_importance_draw": resampling_sql(), "op13_content_sort": CONTENT_SQL}
