@@ -39,12 +39,35 @@ def row_key(doc_id: Column, hashed: Column) -> Column:
     return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), hashed.cast("string"))
 
 
+COLLECT_EVERY = 8        # stored tables between two requests to free what no plan can read any more
+_stored = 0
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back (cuts the lineage)."""
-    base = ensure_checkpoint_dir(df.sparkSession)
-    path = f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    """Write ``df`` to the shared checkpoint folder and read it back (cuts the lineage).
+
+    Spark removes the shuffle files of finished plans only when the driver collects
+    garbage, which a driver with little to hold may not do for hours. Iterative operators
+    would pile them up, so the driver is asked to now and then.
+    """
+    global _stored
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    _stored += 1
+    if _stored % COLLECT_EVERY == 0:
+        spark.sparkContext._jvm.System.gc()
+    return out
+
+
+def discard(*stored: DataFrame) -> None:
+    """Remove tables of :func:`store` that no later step reads."""
+    for df in stored:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def global_order(df: DataFrame, order: Sequence[str], sums: Sequence[str], name: str) -> DataFrame:
@@ -117,9 +140,12 @@ def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
                  .select(F.explode(F.array(F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")),
                                            F.struct(F.col("hi").alias("hi"), F.col("m").alias("lo")))).alias("e"))
                  .select("e.hi", "e.lo").filter("hi != lo").distinct())
-        e = store(small, f"{name}-round")
+        e, last = store(small, f"{name}-round"), e
+        discard(last)
     else:
         raise RuntimeError("components did not settle")
     leaf = e.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
-    return store(leaf.unionByName(e.select(F.col("lo").alias("node"), F.col("lo").alias("root"))).distinct(),
-                 f"{name}-roots")
+    out = store(leaf.unionByName(e.select(F.col("lo").alias("node"), F.col("lo").alias("root"))).distinct(),
+                f"{name}-roots")
+    discard(e)
+    return out

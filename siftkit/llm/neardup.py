@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, prepare, store, table, text_hash
+from .common import components, discard, prepare, store, table, text_hash
 
 BANDS, ROWS = 36, 5       # a pair at 0.8 shares no band with probability 6e-7, one band only with 1e-5
 BATCH = 20                # signature entries compared at a time
@@ -217,7 +217,9 @@ class _Links:
         # one row for each needed text, however often documents repeat it
         texts = (needed.join(texts, F.col("n_id").eqNullSafe(F.col("t_id")) & (F.col("n_hash") == F.col("t_hash")))
                  .select("uid", "text").dropDuplicates(["uid"]))
-        return store(texts, "neardup-texts")
+        out = store(texts, "neardup-texts")
+        discard(needed)
+        return out
 
     def check(self, pairs: DataFrame) -> DataFrame:
         """Of the pairs (a, b) those whose full sets reach the threshold."""
@@ -232,7 +234,9 @@ class _Links:
         right = texts.select(F.col("uid").alias("b"), F.col("text").alias("b_text"))
         linked = _exact(self.n, self.percent)
         both = alive.join(left, "a").join(right, "b")
-        return store(both.filter(linked("a_text", "b_text")).select("a", "b"), "neardup-links")
+        out = store(both.filter(linked("a_text", "b_text")).select("a", "b"), "neardup-links")
+        discard(alive, texts)
+        return out
 
 
 def _mixed(shared: DataFrame, roots: DataFrame) -> DataFrame:
@@ -380,6 +384,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
                             F.col("copy_key").isNotNull().alias("has_words")), "neardup-members")
     chosen = members.filter(F.col("has_words") & (F.col("uid") == F.col("rep"))).select("uid")
     reps = store(signed.join(chosen, "uid", "left_semi").drop("copy_key"), "neardup-reps")
+    discard(signed)
     keyed = reps.select("uid", F.explode("bands").alias("key"))
     shared = store(keyed.join(keyed.groupBy("key").agg(F.min("uid").alias("head"), F.count("*").alias("n"))
                               .filter("n > 1").select("key", "head"), "key"), "neardup-buckets")
@@ -394,20 +399,28 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
         pairs = (mixed.join(head, "key").filter(F.col("comp") != F.col("h.comp"))
                  .groupBy("uid", F.col("h.comp").alias("other")).agg(F.min("h.uid").alias("b")))
         new = links.check(pairs.select(F.greatest("uid", "b").alias("a"), F.least("uid", "b").alias("b")).distinct())
-        found = store(found.unionByName(new), "neardup-found")
+        merged = store(found.unionByName(new), "neardup-found")
+        discard(mixed, new, found, roots)
+        found = merged
         roots = components(found, "neardup-merge")
-    family = store(_families(_mixed(shared, roots), reps), "neardup-family")
-    last = store(_family_links(family, links.texts_of(family.select("uid")), crowd,
-                               _compare_blocks(shingle, percent, bands, rows, batch, miss)), "neardup-last")
+    mixed = _mixed(shared, roots)
+    family = store(_families(mixed, reps), "neardup-family")
+    texts = links.texts_of(family.select("uid"))
+    last = store(_family_links(family, texts, crowd, _compare_blocks(shingle, percent, bands, rows, batch, miss)),
+                 "neardup-last")
+    discard(mixed, shared, reps, family, texts, roots)
     roots = components(found.unionByName(last), "neardup-last")
+    discard(found, last)
 
     nodes = store(members.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
                   .withColumn("root", F.coalesce("root", "rep")), "neardup-nodes")
     lowest = nodes.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     out = nodes.join(lowest, "root")
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    discard(members, roots)
     firsts = store(out.select("uid", "doc_id", "n_shingles", "text_hash", "component_id", kept.alias("kept"), "rep", "root"),
                    "neardup-out")
+    discard(nodes)
     keepers = firsts.filter("kept").groupBy("root").agg(F.min("uid").alias("keeper"))
     return (firsts.join(keepers, "root", "left")
             .select("uid", "doc_id", "n_shingles", "component_id", "kept", "rep", "text_hash",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -19,7 +20,7 @@ _ENCODERS: dict[str, object] = {}
 
 
 def _encoder(name: str):
-    """The public vocabulary as byte-level BPE; the same ids as its ``tokenizers`` file gives, at a sixth of the cost."""
+    """The public vocabulary as byte-level BPE ranks, at a sixth of the cost of its ``tokenizers`` file."""
     if name not in _ENCODERS:
         import base64
 
@@ -32,6 +33,33 @@ def _encoder(name: str):
     return _ENCODERS[name]
 
 
+def _tokenizer(name: str):
+    """The ``tokenizers`` file itself, and the strings of its special tokens."""
+    key = f"{name}.json"
+    if key not in _ENCODERS:
+        import public_tokenizers
+        from tokenizers import Tokenizer
+        full = Tokenizer.from_file(public_tokenizers.path(key))
+        _ENCODERS[key] = full, [t.content for t in full.get_added_tokens_decoder().values()]
+    return _ENCODERS[key]
+
+
+def encode(text: str, vocabulary: str = VOCABULARY):
+    """Ids of a whole text, those that ``tokenizers`` gives without added special tokens.
+
+    A text that holds the string of a special token goes through ``tokenizers``, and
+    so does one with a run of characters too long for the faster matcher.
+    """
+    import numpy as np
+    full, specials = _tokenizer(vocabulary)
+    if not any(mark in text for mark in specials):
+        try:
+            return _encoder(vocabulary).encode_to_numpy(text, disallowed_special=())
+        except ValueError:
+            pass
+    return np.asarray(full.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
+
 def cut_points(length: int, limit: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of one document: whole sequences at the end, the rest first."""
     first = length if length <= limit else (length % limit or limit)
@@ -42,11 +70,10 @@ def _pieces(batches: Iterator[pd.DataFrame], vocabulary: str, limit: int) -> Ite
     import zlib
 
     import numpy as np
-    encoder = _encoder(vocabulary)
     for pdf in batches:
         ids, pieces, starts, lengths, crcs = [], [], [], [], []
         for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-            tokens = np.append(encoder.encode_to_numpy(text or "", disallowed_special=()), END).astype("<u4")
+            tokens = np.append(encode(text or "", vocabulary), END).astype("<u4")
             for k, (start, n) in enumerate(cut_points(len(tokens), limit)):
                 ids.append(doc_id)
                 pieces.append(k)
@@ -120,24 +147,31 @@ def local_search(lengths: list[int], bins: list[list[int]], limit: int) -> list[
                 return True
         at = home[docs]
         ok = (fill[at] >= fill[v]) & (at != v)
-        best = None
-        groups = [(int(size[i]), (i,)) for i in mine]            # one for one, then two for one
-        groups += [(int(size[i] + size[j]), (i, j)) for k, i in enumerate(mine[:16]) for j in mine[k + 1:16]]
-        for total, group in groups:
-            gain = total - size[docs]
-            good = ok & (gain > 0) & (gain <= room[at])
-            if good.any():
-                rest = np.where(good, room[at] - gain, limit + 1)
-                k = int(np.argmin(rest))
-                if best is None or rest[k] < best[0]:
-                    best = (int(rest[k]), group, int(docs[k]))
-                if best[0] == 0:
-                    break
-        if best is None:
+        # one for one and two for one, one pair for every pair of lengths; for each document of
+        # another bin the largest such total that still fits in its place
+        by_total: dict[int, tuple[int, ...]] = {}
+        alike = Counter()
+        tried = []
+        for i in mine:
+            alike[lengths[i]] += 1
+            if alike[lengths[i]] > 2:                            # more of a length give no new total
+                continue
+            for j in tried:
+                by_total.setdefault(lengths[i] + lengths[j], (j, i))
+            tried.append(i)
+        by_total.update({lengths[i]: (i,) for i in reversed(mine)})
+        totals = np.array(sorted(by_total), dtype=np.int64)
+        most = size[docs] + room[at]
+        pick = np.searchsorted(totals, most, side="right") - 1
+        total = totals[np.maximum(pick, 0)]
+        good = ok & (pick >= 0) & (total > size[docs])
+        if not good.any():
             return False
-        b = int(home[best[2]])
-        put(best[2], v)
-        for i in best[1]:
+        k = int(np.argmin(np.where(good, most - total, limit + 1)))
+        best = by_total[int(total[k])], int(docs[k])
+        b = int(home[best[1]])
+        put(best[1], v)
+        for i in best[0]:
             put(i, b)
         return True
 

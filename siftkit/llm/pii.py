@@ -23,7 +23,9 @@ REACH = 80               # code points before a value in which its context words
 # Fixed values of the contract.
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# A match starts where no digit stands before, and takes whole runs of digits: the same matches as the
+# plain pattern, in linear time.
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _RUN = re.compile(r"[0-9]\S*")
