@@ -218,7 +218,8 @@ def mask(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
     return "".join(out) + text[at:]
 
 
-def mask_texts(text: pd.Series, base: pd.Series, found: pd.Series) -> pd.Series:
-    """:func:`mask` over columns, for use as a pandas UDF."""
-    return pd.Series([mask(t, [(s["kind"], s["start"], s["end"]) for s in [*b, *f]])
-                      for t, b, f in zip(text, base, found, strict=True)], dtype=object)
+def mask_all(text: pd.Series, found: pd.Series) -> pd.Series:
+    """Texts with the spans of the fixed patterns and the given others masked, for use as a pandas UDF."""
+    return pd.Series([mask(t, [*base_spans(t), *((s["kind"], s["start"], s["end"]) for s in
+                                                 (f if f is not None else ()))]) if t else t
+                      for t, f in zip(text, found, strict=True)], dtype=object)

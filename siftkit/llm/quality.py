@@ -97,7 +97,8 @@ def score_quality(docs: DataFrame, text_col: str = "text") -> DataFrame:
     Lines are the text split at ``\\n``; lines without a word are passed
     over. A line fails if it breaks a punctuation rule (too many symbols; a
     long line without any sentence mark), a navigation rule (stand-alone
-    menu separators) or a boilerplate rule (shouting, stock phrases). ``clean_text`` is the text without its failing lines.
+    menu separators) or a boilerplate rule (shouting, stock phrases); :func:`clean_lines`
+    removes failing lines from a text.
     A document is kept unless ``base_failed`` (fewer than 20 words, or over
     30 % repeated words) or the failing lines hold over half of the
     characters of its lines. Only SQL functions are used; no row is shuffled.

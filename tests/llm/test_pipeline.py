@@ -106,9 +106,8 @@ def test_stages_against_brute_force(spark):
     for r in corpus_pipeline.packing(spark, docs, "").collect():
         by_doc[r["doc_id"]].append(r)
         by_seq[r["sequence_id"]].append(r)
-    encoder = packing._encoder(packing.VOCABULARY)
     for i, n in copies.items():
-        ids = [*encoder.encode_ordinary(want[i]), packing.END]
+        ids = [*packing.encode(want[i]).tolist(), packing.END]
         crc = zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids))
         assert [(r["start"], r["length"], r["ids_crc32"]) for r in by_doc[i]] == [(0, len(ids), crc)] * n
     assert set(by_doc) == set(copies)
@@ -118,3 +117,46 @@ def test_stages_against_brute_force(spark):
             assert r["offset"] == at
             at += r["length"]
         assert at <= packing.LIMIT
+
+
+ODD_SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, kept string, size string, "
+              "copies string, uid string, base string, n_words string")
+
+
+def odd(spark):
+    """Nulls in every column, copies, rows equal in id and text, one id with two texts, names the operators use."""
+    body = " ".join(f"word{k}" for k in range(60)) + " and mail to some.one@mail.example.com today."
+    other = " ".join(f"other{k}" for k in range(60)) + "."
+    extra = ("mine", "s", "c", "u", "b", "w")
+    rows = [(1, body, "en", "a", len(body)), (1, body, "en", "a", len(body)), (1, other, None, None, len(other)),
+            (2, body, "en", "b", None), (None, other + " more", "en", None, 9), (None, None, None, None, None),
+            (3, None, "en", "a", 0), (4, "", "en", "a", 0), (5, " \n ", "en", "b", 3),
+            (6, "x " * 50000 + other, "en", "b", 7)]
+    return spark.createDataFrame([r + extra for r in rows], ODD_SCHEMA).repartition(3), extra
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stage_on_odd_rows_and_on_none(spark, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs, extra = odd(spark)
+    before = docs.collect()
+    out = stage(spark, docs, "")
+    got = out.collect()
+    assert stage(spark, docs.limit(0), "").collect() == []
+    if name == "packing":
+        assert Counter(r["doc_id"] for r in got if r["piece"] == 0) == Counter(r["doc_id"] for r in before)
+        return
+    assert out.schema == docs.schema
+    assert all(tuple(r)[5:] == extra for r in got)                        # clashing columns come back untouched
+    ids = Counter((r["doc_id"], r["source"]) for r in got)
+    if name == "quality":
+        assert ids == Counter({(1, "a"): 2, (1, None): 1, (2, "b"): 1, (None, None): 1})
+    if name == "near_dedup":                                              # of the two classes the smallest id; null ids last
+        assert ids == Counter({(1, "a"): 1, (1, None): 1, (None, None): 1, (3, "a"): 1, (4, "a"): 1, (5, "b"): 1})
+        # row 6 holds the shingles of the other text and five more, so it is one of its class
+    if name == "pii":
+        assert ids == Counter((r["doc_id"], r["source"]) for r in before)
+        assert sum("[EMAIL]" in (r["text"] or "") for r in got) == 3 and not any("@" in (r["text"] or "") for r in got)
+        assert sorted(r["text"] is None for r in got) == sorted(r["text"] is None for r in before)
+    if name == "mixing":
+        assert all((r["text"] or "").split() for r in got) and max(ids.values()) <= 4
