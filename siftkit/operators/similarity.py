@@ -3,86 +3,32 @@
 Blocked fuzzy matching in the studied SQL joins every keyword with every
 dictionary value of the same first character and a length within 2, then
 filters by edit distance: all pairs inside a block. Here candidates come
-from a join on shared *deletion variants* instead: if
-``levenshtein(a, b) <= k`` then deleting at most ``k`` characters from each
-side yields the same string (substituted positions are deleted on both
-sides, inserted/deleted ones on one side). Each string contributes its
-variants with up to ``k`` deletions (k <= 2), so the join only pairs
-strings that are near each other, and every true match is found. The
-first-character condition is part of the join key; length band and the
-exact distance are checked on the candidates.
+from a join on shared segments (:mod:`.segments`), which pairs only
+strings that are near each other and finds every true match.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import first_char
-
-Threshold = Callable[[Column], Column]
-_EMPTY = "array<string>"
-
+from .segments import Threshold, segment_candidates
 
 def step_threshold(short_max_len: int, long_limit: int) -> Threshold:
     """Distance 1 up to ``short_max_len`` characters, ``long_limit`` above (by the query's length)."""
     return lambda length: F.when(length <= short_max_len, F.lit(1)).otherwise(F.lit(long_limit))
 
 
-def deletion_variants(s: Column, n: Column, k: Column) -> Column:
-    """Distinct strings obtained from ``s`` (length ``n``) by deleting at most ``k`` (<= 2) characters."""
-    empty = F.array().cast(_EMPTY)
-    one = F.when((k >= 1) & (n >= 1), F.transform(
-        F.sequence(F.lit(1), n),
-        lambda i: F.concat(F.substr(s, F.lit(1), i - 1), F.substr(s, i + 1, n)),
-    )).otherwise(empty)
-    two = F.when((k >= 2) & (n >= 2), F.flatten(F.transform(
-        F.sequence(F.lit(1), n - 1),
-        lambda i: F.transform(
-            F.sequence(i + 1, n),
-            lambda j: F.concat(F.substr(s, F.lit(1), i - 1), F.substr(s, i + 1, j - i - 1), F.substr(s, j + 1, n)),
-        ),
-    ))).otherwise(empty)
-    return F.array_distinct(F.concat(F.array(s), one, two))
-
-
 def similarity_candidates(queries: DataFrame, key: str, text: str, dictionary: DataFrame, value: str,
-                          threshold: Threshold, max_gap: int = 2, max_limit: int = 2) -> DataFrame:
+                          threshold: Threshold, max_gap: int = 2, max_limit: int = 2, tags: Sequence[str] = ()) -> DataFrame:
     """(key, value, distance) for every dictionary value with the same first character,
     a length within ``max_gap`` and ``levenshtein <= threshold(len(query text))``.
 
-    ``threshold`` must be non-decreasing in the length and at most ``max_limit`` (<= 2).
+    ``threshold`` must be non-decreasing in the length and at most ``max_limit``, whatever that is.
     """
-    if max_limit > 2:
-        raise ValueError("deletion variants cover distances up to 2")
-    # no null filter on the dictionary: a null value has null variants and never joins, and a
-    # filter on a Python-normalised column would evaluate the normaliser twice
-    d = (dictionary.select(F.col(value).alias("__val")).distinct()
-         .withColumn("__dlen", F.length("__val"))
-         .withColumn("__dfc", first_char(F.col("__val"))))
-    # (first char, length) blocks the dictionary can reach: at most alphabet x lengths rows.
-    # Queries outside every block cannot match and never generate variants.
-    blocks = d.select(F.col("__dfc").alias("__bfc"),
-                      F.explode(F.sequence(F.col("__dlen") - max_gap, F.col("__dlen") + max_gap)).alias("__blen")
-                      ).distinct()
-    q = (queries.select(key, text).where(F.col(text).isNotNull()).distinct()
-         .withColumn("__len", F.length(text))
-         .withColumn("__t", threshold(F.col("__len")))
-         .withColumn("__fc", first_char(F.col(text))))
-    q = q.join(blocks, (F.col("__fc") == F.col("__bfc")) & (F.col("__len") == F.col("__blen")), "left_semi")
-    qv = q.select(key, text, "__len", "__t", "__fc",
-                  F.explode(deletion_variants(F.col(text), F.col("__len"), F.col("__t"))).alias("__v"))
-    dk = threshold(F.col("__dlen") + F.lit(max_gap))
-    dv = d.select("__val", "__dlen", "__dfc",
-                  F.explode(deletion_variants(F.col("__val"), F.col("__dlen"), dk)).alias("__dv"))
-    cand = qv.join(dv, (F.col("__fc") == F.col("__dfc")) & (F.col("__v") == F.col("__dv")), "inner")
-    cand = cand.where(F.abs(F.col("__len") - F.col("__dlen")) <= max_gap)
-    dist = F.levenshtein(F.col(text), F.col("__val"), max_limit)
-    return (cand.select(key, F.col("__val").alias(value), dist.alias("distance"), "__t")
-            .where((F.col("distance") >= 0) & (F.col("distance") <= F.col("__t")))
-            .select(key, value, "distance"))
+    return segment_candidates(queries, key, text, dictionary, value, threshold, max_gap, max_limit, tags=tags)
 
 
 def best_match(candidates: DataFrame, key: str, value: str, out: str) -> DataFrame:
@@ -92,12 +38,13 @@ def best_match(candidates: DataFrame, key: str, value: str, out: str) -> DataFra
 
 
 def keyed_candidates(queries: DataFrame, key: str, text: str, values: DataFrame, value: str,
-                     threshold: Threshold, max_limit: int = 2) -> DataFrame:
-    """Edit distance between each query and the values listed for the same key (no blocking)."""
-    q = (queries.select(key, text).where(F.col(text).isNotNull()).distinct()
+                     threshold: Threshold, max_limit: int = 2, tags: Sequence[str] = ()) -> DataFrame:
+    """Edit distance between each query and the values listed for the same key (and tags; no blocking)."""
+    tags = list(tags)
+    q = (queries.select(*tags, key, text).where(F.col(text).isNotNull()).distinct()
          .withColumn("__t", threshold(F.length(text))))
-    pairs = q.join(values.select(key, value), key, "inner")   # null values get a null distance
+    pairs = q.join(values.select(*tags, key, value), [*tags, key], "inner")   # null values get a null distance
     dist = F.levenshtein(F.col(text), F.col(value), max_limit)
-    return (pairs.select(key, value, dist.alias("distance"), "__t")
+    return (pairs.select(*tags, key, value, dist.alias("distance"), "__t")
             .where((F.col("distance") >= 0) & (F.col("distance") <= F.col("__t")))
-            .select(key, value, "distance"))
+            .select(*tags, key, value, "distance"))

@@ -135,6 +135,15 @@ def _normaliser(name: str) -> Callable[[Column], Column]:
     return {"reference": norm_dict, "norm_str": norm_str}[name]
 
 
+def _raw_dictionaries(brands: DataFrame, attributes: DataFrame, sellers: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "brand": brand_names(brands).select(F.col("brand_name").alias("__raw")),
+        "product_type": product_type_values(attributes).select(F.col("attribute_value").alias("__raw")),
+        "seller": (sellers.where(F.col("business_partner_code").isNotNull())
+                   .select(F.col("business_partner_name").alias("__raw"))),
+    }
+
+
 def fuzzy_dictionaries(brands: DataFrame, attributes: DataFrame, sellers: DataFrame,
                        normalizer: str = "reference", distinct: bool = True) -> dict[str, DataFrame]:
     """The three fuzzy dictionaries as single ``value`` columns (sellers need only a code).
@@ -143,13 +152,17 @@ def fuzzy_dictionaries(brands: DataFrame, attributes: DataFrame, sellers: DataFr
     de-duplicated before the Python-side normalisation.
     """
     f = _normaliser(normalizer)
-    raw = {
-        "brand": brand_names(brands).select(F.col("brand_name").alias("__raw")),
-        "product_type": product_type_values(attributes).select(F.col("attribute_value").alias("__raw")),
-        "seller": (sellers.where(F.col("business_partner_code").isNotNull())
-                   .select(F.col("business_partner_name").alias("__raw"))),
-    }
-    return {k: (v.distinct() if distinct else v).select(f(F.col("__raw")).alias("value")) for k, v in raw.items()}
+    return {k: (v.distinct() if distinct else v).select(f(F.col("__raw")).alias("value"))
+            for k, v in _raw_dictionaries(brands, attributes, sellers).items()}
+
+
+def tagged_dictionary(brands: DataFrame, attributes: DataFrame, sellers: DataFrame,
+                      normalizer: str = "reference") -> DataFrame:
+    """The three fuzzy dictionaries as distinct (dictionary, value), each raw value normalised once."""
+    raw = [v.select(F.lit(k).alias("dictionary"), "__raw")
+           for k, v in _raw_dictionaries(brands, attributes, sellers).items()]
+    every = raw[0].unionByName(raw[1]).unionByName(raw[2]).distinct()
+    return every.select("dictionary", _normaliser(normalizer)(F.col("__raw")).alias("value")).distinct()
 
 
 def ner_norm(ner: DataFrame, normalizer: str = "reference") -> DataFrame:
@@ -191,24 +204,36 @@ def keyword_intent_fuzzy(exact: DataFrame, ner: DataFrame, brands: DataFrame, at
     """Fuzzy intent per row of the exact table (13 columns).
 
     Candidates are searched only for keywords whose exact flag is false;
-    fuzzy flags include the exact flag. ``stage`` (optional) stores the
-    distinct keywords and the normalised NER values once, as five matchers
-    read them.
+    fuzzy flags include the exact flag. The three dictionaries are searched in one
+    segment join and the NER values in one join by keyword. ``stage`` (optional) stores the
+    distinct keywords and the normalised values once, so each value is normalised once.
     """
     q = fuzzy_queries(exact)
-    dicts = fuzzy_dictionaries(brands, attributes, sellers, normalizer)
-    nv = ner_norm(ner, normalizer)
+    values, nv = tagged_dictionary(brands, attributes, sellers, normalizer), ner_norm(ner, normalizer)
     if stage is not None:
-        q, nv = stage(q, "fuzzy_keywords"), stage(nv, "ner_values")
-    bm = fuzzy_dictionary_match(q.where(~F.col("is_brand_exact")), dicts["brand"], "matched_brand_master")
-    bn = fuzzy_ner_match(q.where(~F.col("is_brand_exact")), nv, "brand", "matched_brand_ner")
-    pm = fuzzy_dictionary_match(q.where(~F.col("is_product_type_exact")), dicts["product_type"],
-                                "matched_product_type_master")
-    pn = fuzzy_ner_match(q.where(~F.col("is_product_type_exact")), nv, "product_type", "matched_product_type_ner")
-    sm = fuzzy_dictionary_match(q.where(~F.col("is_seller_exact")), dicts["seller"], "matched_seller")
-    out = exact.select(KW, "normalized_keyword", *FUZZY_FLAGS)
-    for m in (bm, bn, pm, pn, sm):
-        out = out.join(m, KW, "left")
+        q, values, nv = stage(q, "fuzzy_keywords"), stage(values, "fuzzy_values"), stage(nv, "ner_values")
+    flag = {"brand": "is_brand_exact", "product_type": "is_product_type_exact", "seller": "is_seller_exact"}
+
+    def wanted(kinds: tuple[str, ...], tag: str) -> DataFrame:
+        """A row for each keyword and dictionary in which it is still to be searched."""
+        open_ = F.filter(F.array(*[F.when(~F.col(flag[k]), F.lit(k)) for k in kinds]), lambda k: k.isNotNull())
+        return q.select(KW, "normalized_keyword", F.explode(open_).alias(tag))
+
+    def best(candidates: DataFrame, tag: str, out: dict[str, str]) -> DataFrame:
+        """W2 for several tags in one aggregation: the closest value of each, ties to the smallest."""
+        b = candidates.groupBy(KW).agg(*[F.min(F.when(F.col(tag) == k, F.struct("distance", "value"))).alias(c)
+                                         for k, c in out.items()])
+        return b.select(KW, *[F.col(f"{c}.value").alias(c) for c in out.values()])
+
+    master = best(similarity_candidates(wanted(tuple(flag), "dictionary"), KW, "normalized_keyword", values, "value",
+                                        _DICT_T, MAX_LENGTH_GAP, tags=("dictionary",)), "dictionary",
+                  {k: f"matched_{k}_master" if k != "seller" else "matched_seller" for k in flag})
+    of_ner = wanted(NER_ATTRIBUTES, "attribute_name")
+    own = best(keyed_candidates(of_ner, KW, "normalized_keyword",
+                                nv.select(KW, "attribute_name", F.col("ner_value").alias("value")), "value", _NER_T,
+                                tags=("attribute_name",)), "attribute_name",
+               {k: f"matched_{k}_ner" for k in NER_ATTRIBUTES})
+    out = exact.select(KW, "normalized_keyword", *FUZZY_FLAGS).join(master, KW, "left").join(own, KW, "left")
     has = lambda c: F.col(c).isNotNull()
     brand_m, brand_n = has("matched_brand_master"), has("matched_brand_ner")
     pt_m, pt_n = has("matched_product_type_master"), has("matched_product_type_ner")

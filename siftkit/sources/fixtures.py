@@ -51,13 +51,17 @@ def _collect(d: str, expr: str) -> str:
 
 
 _S = "CAST(NULL AS STRING)"
+# what shoppers type for a part: as many keywords as parts
+_KEYWORD = "p_name || ' ' || CAST(p_partkey AS STRING)"
+# parts are dealt over all suppliers (keys 0 to count - 1)
+_SUPPLIER_OF_PART = "p_partkey % (SELECT count(*) FROM {supplier})"
 
 
 def _base(d: str) -> str:
     r = "CAST(n.n_regionkey AS STRING)"
     nn = "CAST(n.n_nationkey AS STRING)"
     ss = "CAST(s.s_suppkey AS STRING)"
-    leaf = "CAST(e.event_id % 50 AS STRING)"
+    leaf = "CAST(p.p_partkey AS STRING)"
     return f"""
 SELECT
   e.event_id, e.event_type, e.ts AS datetime,
@@ -76,14 +80,14 @@ SELECT
   CASE WHEN e.event_id % 7 = 0 THEN 'home' WHEN e.event_id % 3 = 0 THEN 'search'
        WHEN e.event_id % 3 = 1 THEN 'searchpage' ELSE 'n-1 page' END AS catalog_page_type,
   CASE WHEN e.user_id % 6 = 0 THEN {_S} ELSE 'm' || CAST(e.user_id AS STRING) END AS client_member_id,
-  p.p_name AS actual_search_internal_keyword,
+  {_KEYWORD} AS actual_search_internal_keyword,
   CAST(e.event_id % 4 + 1 AS INT) AS page_number,
-  '/search?q=' || replace(p.p_name, ' ', '+') AS page_url,
+  '/search?q=' || replace({_KEYWORD}, ' ', '+') AS page_url,
   CASE WHEN e.event_id % 9 = 0 THEN 'brand:' || p.p_brand ELSE {_S} END AS applied_filter,
   CASE WHEN e.event_id % 11 = 0 THEN 'true' ELSE 'false' END AS all_category_click,
   CASE e.event_id % 3 WHEN 0 THEN 'relevance' WHEN 1 THEN 'price_asc' ELSE 'newest' END AS sort_by,
-  CASE WHEN e.event_id % 53 = 0 THEN {_S} WHEN e.event_id % 2 = 0 THEN upper(p.p_name)
-       ELSE p.p_name END AS search_internal_keyword,
+  CASE WHEN e.event_id % 53 = 0 THEN {_S} WHEN e.event_id % 2 = 0 THEN upper({_KEYWORD})
+       ELSE {_KEYWORD} END AS search_internal_keyword,
   CASE e.user_id % 3 WHEN 0 THEN 'chrome' WHEN 1 THEN 'safari' ELSE 'firefox' END AS browser,
   CAST(e.event_id % 50 AS INT) AS sequence,
   CAST(floor(e.value) AS INT) - 5 AS search_result_count,
@@ -106,8 +110,10 @@ SELECT
   regexp_extract(e.props, '[0-9]+', 0) AS props_k,
   p.p_partkey, p.p_name
 FROM {{events}} e
-JOIN {{part}} p ON p.p_partkey = (e.user_id * 7 + e.event_id % 3) % 200
-JOIN {{supplier}} s ON s.s_suppkey = e.event_id % 10
+JOIN (SELECT l_orderkey, min(l_partkey) AS partkey, min(l_suppkey) AS suppkey FROM {{lineitem}} GROUP BY l_orderkey) o
+  ON o.l_orderkey = CASE WHEN e.event_id % 4 = 0 THEN e.event_id ELSE e.user_id * 7 + e.event_id % 3 END
+JOIN {{part}} p ON p.p_partkey = o.partkey
+JOIN {{supplier}} s ON s.s_suppkey = o.suppkey
 JOIN {{nation}} n ON n.n_nationkey = s.s_nationkey
 """
 
@@ -178,7 +184,7 @@ def _members(d: str, keep_null: bool = False) -> str:
 
 
 def _stopwords(d: str) -> str:
-    return "SELECT upper(p_name) AS stopword_keyword FROM {part} WHERE p_partkey IN (3, 7, 11)"
+    return f"SELECT upper({_KEYWORD}) AS stopword_keyword FROM {{part}} WHERE p_partkey % 41 = 3"
 
 
 def _category(d: str) -> str:
@@ -202,7 +208,7 @@ def _category(d: str) -> str:
         "SELECT 'N3b-' || CAST(s_suppkey AS STRING), 'N2-' || CAST((s_nationkey + 1) % 25 AS STRING), 3, "
         "'main', 'C3-' || CAST(s_suppkey AS STRING), s_name, lower(s_name) FROM {supplier} "
         "WHERE s_suppkey % 9 = 0",
-        node(4, "p_partkey", "'N3-' || CAST(p_partkey % 10 AS STRING)", "'main'", "p_name",
+        node(4, "p_partkey", f"'N3-' || CAST({_SUPPLIER_OF_PART} AS STRING)", "'main'", "p_name",
              f"CASE WHEN p_partkey % 4 = 0 THEN {_S} ELSE upper(p_name) END", "{part}"),
     ]
     # deeper levels thin out by key parity: a part at level L also has a node at L+1 when
@@ -215,12 +221,12 @@ def _category(d: str) -> str:
 
 def _kw_category(d: str) -> str:
     return f"""
-SELECT CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) ELSE p_name END AS search_internal_keyword,
+SELECT CASE WHEN p_partkey % 3 = 0 THEN upper({_KEYWORD}) ELSE {_KEYWORD} END AS search_internal_keyword,
   CASE WHEN p_partkey % 2 = 1 THEN {_S} ELSE 'C1-' || CAST(p_partkey % 5 AS STRING) END AS c1CategoryCode,
   'C2-' || CAST(p_partkey % 25 AS STRING) AS c2CategoryCode,
-  'C3-' || CAST(p_partkey % 10 AS STRING) AS c3CategoryCode,
+  'C3-' || CAST({_SUPPLIER_OF_PART} AS STRING) AS c3CategoryCode,
   'C1-' || CAST(p_partkey % 5 AS STRING) || '/C2-' || CAST(p_partkey % 25 AS STRING)
-    || '/C3-' || CAST(p_partkey % 10 AS STRING) AS c3_category
+    || '/C3-' || CAST({_SUPPLIER_OF_PART} AS STRING) AS c3_category
 FROM {{part}}
 """
 
@@ -294,19 +300,20 @@ FROM {{supplier}}
 
 def _status(d: str, version: int) -> str:
     if version == 1:
-        terms = "SELECT p_name AS kw FROM {part} UNION ALL SELECT upper(p_name) FROM {part} WHERE p_partkey % 2 = 0"
+        terms = (f"SELECT {_KEYWORD} AS kw FROM {{part}} UNION ALL SELECT upper({_KEYWORD}) FROM {{part}} "
+                 "WHERE p_partkey % 2 = 0")
         status = (f"CASE length(kw) % 4 WHEN 0 THEN 'OK' WHEN 1 THEN 'ok' WHEN 2 THEN {_S} "
                   "ELSE 'TIMEOUT: Request timed out after 30s' END")
     else:
-        terms = ("SELECT p_name AS kw FROM {part} WHERE p_partkey % 3 <> 0 "
-                 "UNION ALL SELECT upper(p_name) FROM {part} WHERE p_partkey % 3 = 0")
+        terms = (f"SELECT {_KEYWORD} AS kw FROM {{part}} WHERE p_partkey % 3 <> 0 "
+                 f"UNION ALL SELECT upper({_KEYWORD}) FROM {{part}} WHERE p_partkey % 3 = 0")
         status = f"CASE length(kw) % 3 WHEN 0 THEN 'OK' WHEN 1 THEN 'HTTP_ERROR: 500' ELSE {_S} END"
     return f"SELECT kw AS search_internal_keyword, {status} AS status FROM ({terms}) t"
 
 
 # name -> (adapter dependencies, SQL builder)
 FIXTURES = {
-    "fx_base": (("events", "part", "supplier", "nation"), _base),
+    "fx_base": (("events", "lineitem", "part", "supplier", "nation"), _base),
     "fx_view": (("fx_base", "lineitem"), _view),
     "fx_click": (("fx_base",), _click),
     "fx_sessions": (("fx_base",), _sessions),
@@ -314,7 +321,7 @@ FIXTURES = {
     "fx_members_with_null": (("fx_base",), lambda d: _members(d, keep_null=True)),
     "fx_stopwords": (("part",), _stopwords),
     "fx_category": (("region", "customer", "nation", "supplier", "part"), _category),
-    "fx_kw_category": (("part",), _kw_category),
+    "fx_kw_category": (("part", "supplier"), _kw_category),
     "fx_keywords": (("part", "supplier"), _keywords),
     "fx_ner": (("part",), _ner),
     "fx_brand": (("part",), _brand),
