@@ -114,3 +114,22 @@ def keyword_facts(views: DataFrame, clicks: DataFrame, kw_map: DataFrame, paths:
         totals["total_clicks"].alias("total_clicks"),
         totals["total_keywords"].alias("total_keywords"),
     )
+
+
+def session_keywords(df: DataFrame, time_col: str = "datetime") -> DataFrame:
+    """(day, session_id, keyword) of search events, keyword in lower case: what co-located tables hold."""
+    return df.select(F.to_date(time_col).alias("day"), "session_id", F.lower(F.col(KW)).alias(KW)).distinct()
+
+
+def loads_with_clicks(loads: DataFrame, clicks: DataFrame, cfg: FactsConfig) -> DataFrame:
+    """Per keyword the sessions that loaded it and those of them that clicked, from tables of :func:`session_keywords`.
+
+    Over tables bucketed by session and keyword neither the distinct nor the join shuffles, and the
+    date window prunes partitions; only one partial count per keyword and task is shuffled.
+    """
+    window = F.col("day").between(F.lit(cfg.date_from), F.lit(cfg.date_to))
+    keys = ["session_id", KW]
+    a = loads.where(window).groupBy(*keys).agg(F.lit(1).alias("loaded"))
+    b = clicks.where(window).groupBy(*keys).agg(F.lit(1).alias("clicked"))
+    return a.join(b.hint("merge"), keys, "left").groupBy(KW).agg(F.count("loaded").alias("sessions_loaded"),
+                                                   F.count("clicked").alias("sessions_clicked"))

@@ -11,6 +11,7 @@ from ..config import (ACTIVE_MERCHANT, DICTIONARY_DISTANCE, MAX_LENGTH_GAP, NER_
                       PRODUCT_TYPE_ATTRIBUTE)
 from ..functions.text import norm_dict, norm_str
 from ..operators.nested import explode_two_levels
+from ..operators.skew import salted_join
 from ..operators.similarity import (best_match, keyed_candidates, similarity_candidates,
                                     step_threshold)
 
@@ -69,10 +70,14 @@ def dictionary(values: DataFrame, raw: str, out_raw: str, out_norm: str) -> Data
 
 def exact_match(base: DataFrame, dict_df: DataFrame, norm: str, raw: str, flag: str, out_raw: str,
                 drop_empty: bool = False) -> DataFrame:
-    """N8 + P15: keywords whose normalised form equals a dictionary entry's (one row per entry)."""
+    """N8 + P15: keywords whose normalised form equals a dictionary entry's (one row per entry).
+
+    All keywords without a Latin letter or digit normalise to '', so that key can be hot; its rows are salted.
+    """
     d = dict_df.where(F.col(norm) != F.lit("")) if drop_empty else dict_df
-    j = base.join(d, base["normalized_keyword"] == d[norm], "inner")
-    return j.select(KW, F.lit(True).alias(flag), F.col(raw).alias(out_raw))
+    j = salted_join(base.select(KW, F.col("normalized_keyword").alias("__norm")),
+                    d.select(F.col(raw).alias(out_raw), F.col(norm).alias("__norm")), "__norm", F.col(KW))
+    return j.select(KW, F.lit(True).alias(flag), out_raw)
 
 
 def ner_exact(base: DataFrame, flat: DataFrame) -> DataFrame:

@@ -332,5 +332,70 @@ QUERIES.update({
 })
 
 
+# ---------------------------------------------------------------- tables: replace, append, ledger, CSV, buckets
+from .sources import ledger as _ledger  # noqa: E402
+from .sources.fixtures import REPLACED_BEFORE, csv_terms_sql  # noqa: E402
+from .sources.tables import write_colocated  # noqa: E402
+
+
+def _fresh(c: Context, name: str) -> str:
+    import uuid
+    return f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def table_replace_append_q(c: Context) -> DataFrame:
+    """Job output created, replaced and appended by date; a second append of the same dates is refused."""
+    rows = c.views().select(F.to_date("datetime").alias("day"), "search_id", "session_id", _facts.KW)
+    early, late = rows.where(F.col("day") < REPLACED_BEFORE), rows.where(F.col("day") >= REPLACED_BEFORE)
+    t = _ledger.BatchTable(c.spark, _fresh(c, "views-by-day"), rows.schema, "day")
+    t.replace(rows.withColumn("search_id", F.lit("outdated")), "created")
+    t.replace(early, "replaced")
+    t.append(late, "appended")
+    try:
+        t.append(late, "again")
+        refused = False
+    except _ledger.BatchLoaded:
+        refused = True
+    t.resume(rows, "resumed")                                    # nothing is missing
+    return t.read().groupBy("day", "load").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("session_id").alias("sessions"),
+        F.count_if(F.col("search_id") == "outdated").alias("outdated")).withColumn("refused", F.lit(refused))
+
+
+def ledger_resume_q(c: Context) -> DataFrame:
+    """A run that dies between data and commit of its second batch, then more terms and a resumed run."""
+    results = _stage(enrich_terms_q(c), "enriched")
+    t = _ledger.BatchTable(c.spark, _fresh(c, "enrichment"), results.schema, "batch_id")
+    first = results.where("batch_id <= 1")
+    t.commit(t.write(first, "first"), "first", batches=first.where("batch_id = 0"))
+    t.resume(results, "second")
+    return t.read()
+
+
+def csv_round_trip_q(c: Context) -> DataFrame:
+    """Hostile terms through CSV: those that fit come back equal, the others are marked as rejected."""
+    path = _fresh(c, "terms-csv")
+    _ledger.write_csv(c.spark.sql(csv_terms_sql(), part=c.fx["part"]), path)
+    back = _ledger.read_csv(c.spark, path, _ledger.StructType().add("id", "long").add("term", "string").add("size", "integer"))
+    return back.select("id", "term", "size", F.col("rejected").isNotNull().alias("rejected"))
+
+
+def colocated_loads_clicks_q(c: Context) -> DataFrame:
+    """J1/J2/J5 on storage partitioned by date and bucketed by session and keyword."""
+    import uuid
+    tables = [write_colocated(_facts.session_keywords(df, at), f"siftkit_{name}_{uuid.uuid4().hex}", _fresh(c, name), "day",
+                              ["session_id", _facts.KW], 16)
+              for name, df, at in (("loads", c.views(), "datetime"), ("clicks", c.clicks(), "event_datetime"))]
+    return _facts.loads_with_clicks(*tables, FACTS_CFG)
+
+
+QUERIES.update({
+    "table_replace_append": table_replace_append_q,
+    "ledger_resume": ledger_resume_q,
+    "csv_round_trip": csv_round_trip_q,
+    "colocated_loads_clicks": colocated_loads_clicks_q,
+})
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: (lambda spark, sf_dir, _f=fn: _f(context(spark, sf_dir))) for name, fn in QUERIES.items()}

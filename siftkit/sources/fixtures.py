@@ -332,6 +332,22 @@ FIXTURES = {
 }
 
 
+REPLACED_BEFORE = _dt.date(2024, 1, 14)     # the test table is replaced before and appended from this day
+
+
+def csv_terms_sql(part: str = "{part}") -> str:
+    """Terms with quotes, commas, line ends, outer spaces, back slashes, nulls and empty strings; some sizes are no number."""
+    return f"""
+SELECT p_partkey AS id,
+  CASE p_partkey % 7 WHEN 0 THEN {_S} WHEN 1 THEN '' WHEN 2 THEN p_name || '", "' || chr(10) || p_type
+    WHEN 3 THEN ' ' || p_name || ' ' WHEN 4 THEN chr(92) || p_name || chr(92) || '"' WHEN 5 THEN '"' || chr(10) || ','
+    ELSE p_name END AS term,
+  CASE WHEN p_partkey % 17 = 0 THEN 'many' WHEN p_partkey % 19 = 0 THEN {_S}
+    ELSE CAST(CAST(p_size AS INT) AS STRING) END AS size
+FROM {part}
+"""
+
+
 def _order(names) -> list[str]:
     seen: list[str] = []
 

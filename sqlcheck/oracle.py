@@ -10,7 +10,8 @@ jobs use. DuckDB has no NFKC; on the adapter data NFKC changes nothing.
 from __future__ import annotations
 
 from siftkit.config import CLICK_KV_COLUMNS, VIEW_KV_COLUMNS
-from siftkit.sources.fixtures import FACTS_CFG, SEARCH_CFG, ZONE_OFFSET_HOURS, duckdb_ctes
+from siftkit.sources.fixtures import (FACTS_CFG, REPLACED_BEFORE, SEARCH_CFG, ZONE_OFFSET_HOURS, csv_terms_sql,
+                                      duckdb_ctes)
 
 _cfg = SEARCH_CFG
 _H = ZONE_OFFSET_HOURS
@@ -645,3 +646,27 @@ SELECT batch_id, records, success, failed,
 FROM all_rows
 """
 ORACLE["batch_resume"] = ORACLE["enrich_terms"]
+
+
+# ---------------------------------------------------------------- tables: replace, append, ledger, CSV, buckets
+ORACLE["table_replace_append"] = search_views_with() + f"""
+SELECT CAST(datetime AS DATE) AS day,
+  CASE WHEN CAST(datetime AS DATE) < DATE '{REPLACED_BEFORE}' THEN 'replaced' ELSE 'appended' END AS load,
+  count(*) AS n_rows, count(DISTINCT session_id) AS sessions, 0 AS outdated, TRUE AS refused
+FROM search_views GROUP BY ALL
+"""
+ORACLE["ledger_resume"] = _enrich_ctes() + """
+SELECT *, CASE WHEN batch_id = 0 THEN 'first' ELSE 'second' END AS load FROM parsed
+"""
+ORACLE["csv_round_trip"] = f"""
+SELECT id, term, TRY_CAST(size AS INTEGER) AS size, coalesce(size = 'many', FALSE) AS rejected
+FROM ({csv_terms_sql("part")}) t
+"""
+ORACLE["colocated_loads_clicks"] = _facts_prefix() + f""",
+pair_loads AS (SELECT DISTINCT session_id, lower(search_internal_keyword) AS kw FROM search_views
+               WHERE CAST(datetime AS DATE) BETWEEN DATE '{FACTS_CFG.date_from}' AND DATE '{FACTS_CFG.date_to}'),
+pair_clicks AS (SELECT DISTINCT session_id, lower(search_internal_keyword) AS kw FROM search_clicks
+                WHERE CAST(event_datetime AS DATE) BETWEEN DATE '{FACTS_CFG.date_from}' AND DATE '{FACTS_CFG.date_to}')
+SELECT l.kw AS search_internal_keyword, count(*) AS sessions_loaded, count(c.kw) AS sessions_clicked
+FROM pair_loads l LEFT JOIN pair_clicks c ON l.session_id = c.session_id AND l.kw = c.kw GROUP BY 1
+"""
