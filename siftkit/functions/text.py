@@ -10,7 +10,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -39,12 +39,33 @@ def nfkc(c: Column) -> Column:
     return F.when(c.isNull() | ascii_only, c).otherwise(_nfkc_batch(F.when(~ascii_only, c)))
 
 
+def nfkc_lookup(values: DataFrame, col: str) -> DataFrame:
+    """X6 as a side table: (raw, form) of the distinct values that are not ASCII, each normalised once.
+
+    Store it where several dictionaries read it. Values reach the Python worker once each, however often rows
+    repeat them; copies are dropped in every task before the shuffle.
+    """
+    raw = values.select(F.col(col).alias("raw")).where(~is_ascii(F.col("raw"))).distinct()
+    return raw.select("raw", _nfkc_batch(F.col("raw")).alias("form"))
+
+
+def with_nfkc(df: DataFrame, col: str, lookup: DataFrame, out: str) -> DataFrame:
+    """``df`` with ``out``: the NFKC form of ``col`` from a stored :func:`nfkc_lookup`; ASCII and null values as they are."""
+    found = lookup.select(F.col("raw").alias("__raw"), F.col("form").alias("__form"))
+    # ASCII rows carry a null key: they match nothing and are never one hot key of the shuffle
+    key = F.when(~is_ascii(F.col(col)), F.col(col))
+    joined = df.join(found, key == F.col("__raw"), "left")
+    return joined.withColumn(out, F.coalesce("__form", col)).drop("__raw", "__form")
+
+
+def latin_form(c: Column) -> Column:
+    """U2 after NFKC: non [a-z0-9 ] to space, spaces squeezed, trimmed, lower case."""
+    return F.lower(F.trim(F.regexp_replace(F.regexp_replace(c, NON_LATIN_PATTERN, " "), WHITESPACE_RUN_PATTERN, " ")))
+
+
 def norm_str(c: Column) -> Column:
     """Lower -> NFKC -> non [a-z0-9 ] to space -> squeeze spaces -> trim -> lower."""
-    x = nfkc(F.lower(c))
-    x = F.regexp_replace(x, NON_LATIN_PATTERN, " ")
-    x = F.regexp_replace(x, WHITESPACE_RUN_PATTERN, " ")
-    return F.lower(F.trim(x))
+    return latin_form(nfkc(F.lower(c)))
 
 
 def norm_dict(c: Column) -> Column:

@@ -334,7 +334,7 @@ QUERIES.update({
 
 # ---------------------------------------------------------------- tables: replace, append, ledger, CSV, buckets
 from .sources import ledger as _ledger  # noqa: E402
-from .sources.fixtures import REPLACED_BEFORE, csv_terms_sql  # noqa: E402
+from .sources.fixtures import REPLACED_BEFORE, csv_terms_sql, nfkc_terms_sql  # noqa: E402
 from .sources.tables import write_colocated  # noqa: E402
 
 
@@ -389,7 +389,18 @@ def colocated_loads_clicks_q(c: Context) -> DataFrame:
     return _facts.loads_with_clicks(*tables, FACTS_CFG)
 
 
+def nfkc_terms_q(c: Context) -> DataFrame:
+    """Terms that NFKC changes, normalised through a stored side table."""
+    from .functions.text import latin_form, nfkc_lookup, norm_dict, with_nfkc
+    terms = c.spark.sql(nfkc_terms_sql(), part=c.fx["part"])
+    lookup = _stage(nfkc_lookup(terms, "term"), "nfkc")
+    out = with_nfkc(terms, "term", lookup, "form")
+    return out.select("id", "term", "form", latin_form(F.lower("form")).alias("normalized"),
+                      norm_dict(F.col("term")).alias("dictionary_form"))
+
+
 QUERIES.update({
+    "nfkc_terms": nfkc_terms_q,
     "table_replace_append": table_replace_append_q,
     "ledger_resume": ledger_resume_q,
     "csv_round_trip": csv_round_trip_q,

@@ -335,6 +335,21 @@ FIXTURES = {
 REPLACED_BEFORE = _dt.date(2024, 1, 14)     # the test table is replaced before and appended from this day
 
 
+# Spellings outside ASCII and their NFKC forms (full width, ligature, superscript, circled,
+# roman numeral, composed accent, half-width katakana, no-break space).
+NFKC_FORMS = (("ＳＨＯＥ", "SHOE"), ("ﬁne", "fine"), ("x²", "x2"), ("①", "1"), ("Ⅻ", "XII"), ("cafe\u0301", "caf\u00e9"),
+              ("ｶﾞ", "ガ"), ("a\u00a0b", "a b"))
+
+
+def nfkc_terms_sql(part: str = "{part}", forms: bool = False) -> str:
+    """Terms in spellings that NFKC changes; with ``forms`` the expected forms beside them."""
+    def case(k: int) -> str:
+        return f"CASE p_partkey % {len(NFKC_FORMS) + 1} " + " ".join(
+            f"WHEN {i} THEN '{f[k]} '" for i, f in enumerate(NFKC_FORMS)) + " ELSE '' END || p_name"
+    more = f", {case(1)} AS form" if forms else ""
+    return f"SELECT p_partkey AS id, CASE WHEN p_partkey % 23 = 0 THEN {_S} ELSE {case(0)} END AS term{more} FROM {part}"
+
+
 def csv_terms_sql(part: str = "{part}") -> str:
     """Terms with quotes, commas, line ends, outer spaces, back slashes, nulls and empty strings; some sizes are no number."""
     return f"""

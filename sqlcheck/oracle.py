@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from siftkit.config import CLICK_KV_COLUMNS, VIEW_KV_COLUMNS
 from siftkit.sources.fixtures import (FACTS_CFG, REPLACED_BEFORE, SEARCH_CFG, ZONE_OFFSET_HOURS, csv_terms_sql,
-                                      duckdb_ctes)
+                                      duckdb_ctes, nfkc_terms_sql)
 
 _cfg = SEARCH_CFG
 _H = ZONE_OFFSET_HOURS
@@ -670,3 +670,11 @@ pair_clicks AS (SELECT DISTINCT session_id, lower(search_internal_keyword) AS kw
 SELECT l.kw AS search_internal_keyword, count(*) AS sessions_loaded, count(c.kw) AS sessions_clicked
 FROM pair_loads l LEFT JOIN pair_clicks c ON l.session_id = c.session_id AND l.kw = c.kw GROUP BY 1
 """
+# the forms are literals beside each spelling; what follows them is lower-cased and stripped in SQL
+ORACLE["nfkc_terms"] = f"""
+SELECT id, term, CASE WHEN term IS NOT NULL THEN form END AS form,
+  CASE WHEN term IS NOT NULL THEN lower(trim(regexp_replace(regexp_replace(lower(form), '[^a-z0-9 ]', ' ', 'g'), '\\s+', ' ', 'g'))) END
+    AS normalized,
+  CASE WHEN term IS NOT NULL THEN lower(regexp_replace(form, '[^a-z0-9 ]', ' ', 'g')) END AS dictionary_form
+FROM ({nfkc_terms_sql("part", forms=True)}) t
+"""
