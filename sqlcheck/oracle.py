@@ -623,8 +623,8 @@ parsed AS (
   FROM batches
 ),
 per_batch AS (
-  SELECT batch_id, COUNT(*) AS records, CAST(COUNT_IF(code = 200) AS BIGINT) AS success,
-    CAST(COUNT_IF(code IS DISTINCT FROM 200) AS BIGINT) AS failed
+  SELECT batch_id, COUNT(*) AS records, COUNT(*) FILTER (WHERE code = 200) AS success,
+    COUNT(*) FILTER (WHERE code IS DISTINCT FROM 200) AS failed
   FROM parsed GROUP BY batch_id
 )"""
 
