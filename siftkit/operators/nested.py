@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.paths import not_blank
 
 
+PARTS = 16              # salted parts of a group whose values are listed
+
+
 def valid_kv(entries: Column, key_field: str = "key", val_field: str = "val") -> Column:
     """N16 filter: key/value entries whose value is non-null and non-empty."""
     return F.filter(entries, lambda e: not_blank(e[val_field]))
@@ -42,13 +45,18 @@ def collect_distinct_string(df: DataFrame, group_keys: Sequence[str], array_col:
                             field: str, out: str, sep: str = ",") -> DataFrame:
     """N15 + A5: STRING_AGG(DISTINCT x.field) over an inner unnest, blank values dropped.
 
-    Groups without any valid value are absent (as with an inner unnest).
+    Three levels, so that a hot group is one buffer nowhere before its end:
+    distinct (group, value) by an aggregation on both; sorted lists of each
+    group's salted parts (the salt is the value's hash, ``PARTS`` of them);
+    one merge of at most ``PARTS`` lists per group. Values met again are
+    gone before any list is built, and no set is kept. Groups without any
+    valid value are absent (as with an inner unnest).
     """
-    items = df.select(*group_keys, F.explode(F.col(array_col)).alias("__x"))
-    items = items.where(not_blank(F.col(f"__x.{field}")))
-    return items.groupBy(*group_keys).agg(
-        sorted_distinct_join(F.collect_set(F.col(f"__x.{field}")), sep).alias(out)
-    )
+    items = df.select(*group_keys, F.explode(F.col(array_col)[field]).alias("__x")).where(not_blank(F.col("__x"))).distinct()
+    parts = items.groupBy(*group_keys, F.pmod(F.xxhash64("__x"), F.lit(PARTS)).alias("__part")).agg(
+        F.array_sort(F.collect_list("__x")).alias("__sorted"))
+    return parts.groupBy(*group_keys).agg(
+        F.array_join(F.array_sort(F.flatten(F.collect_list("__sorted"))), sep).alias(out))
 
 
 def explode_path(df: DataFrame, keep: Sequence[str], array_expr: Column, out: str) -> DataFrame:

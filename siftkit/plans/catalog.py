@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import MISSING_CATEGORY, FactsConfig
+from ..config import MISSING_CATEGORY, PATH_SEPARATOR, FactsConfig
 from ..functions.channels import date_between
 from ..functions.paths import split_path
-from ..operators.hierarchy import NODE_ATTRS, deepest, level_chain, unpivot_levels
+from ..operators.hierarchy import NODE_ATTRS, deepest, level_chain, unpivot_levels, walk_paths
 from ..operators.topk import best_per_group
 
 PATH_COL = "search_internal_category_id"
@@ -27,6 +27,16 @@ def category_paths(category: DataFrame, catalog_code: str, levels: int = 8) -> D
     return chain.select(*cols, *cn).distinct()
 
 
+def category_paths_any_depth(category: DataFrame, catalog_code: str, stage) -> DataFrame:
+    """N9 without a level limit: every path from a root of the catalog by its links alone, cycles marked."""
+    root = (F.col("category_level") == 1) & (F.col("catalog_code") == F.lit(catalog_code))
+    paths = walk_paths(category, root, stage)
+    return paths.select(
+        F.array_join(F.col("path.id"), PATH_SEPARATOR).alias("path_ids"),
+        F.array_join(F.col("path.code"), PATH_SEPARATOR).alias("path_codes"),
+        F.size("path").alias("depth"), "cyclic").distinct()
+
+
 def exploded_paths(views: DataFrame, cfg: FactsConfig) -> DataFrame:
     """N17 + A1: distinct (path string, code) pairs of impressions in the date window."""
     rows = views.where(date_between(F.col("datetime"), cfg.date_from, cfg.date_to))

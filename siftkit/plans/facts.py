@@ -7,8 +7,10 @@ Plan notes:
   left join with at most one row per keyword and the DISTINCT does not
   change distinct counts, so the counts are the same while the scan reads
   only session and keyword columns.
-* Both per-keyword counts are joined to each other first (both sides are
-  already partitioned by keyword), then once to the loads.
+* All distinct counts come from one table: a row of loads or clicks is
+  expanded into its grouping sets, one distinct shares the exchange, and a
+  second small aggregation counts. Loads and clicks are scanned once each
+  for all counts.
 * Global totals are one-row scalar subqueries instead of cross joins.
 * The closing DISTINCT of the studied SQL is implied: the loads are
   distinct, the click join matches at most one row (clicks are distinct on
@@ -66,23 +68,52 @@ def clicks_base(clicks: DataFrame, cfg: FactsConfig) -> DataFrame:
             .select("session_id", "search_id", F.lower(F.col(KW)).alias(KW)).distinct())
 
 
-def keyword_counts(base: DataFrame, clicks: DataFrame) -> DataFrame:
-    """A2: distinct sessions per keyword for loads and clicks (null clicks when never clicked)."""
-    loads_agg = base.groupBy(KW).agg(F.count_distinct("session_id").alias("search_loads"))
-    clicks_agg = clicks.groupBy(KW).agg(F.count_distinct("session_id").alias("search_clicks"))
-    return loads_agg.join(clicks_agg, KW, "left")
+_BY_KEYWORD, _PAIRS = 0, 1
 
 
-def funnel_totals(base: DataFrame, clicks: DataFrame) -> dict:
-    """A3/A4: global distinct counts as one-row scalar subqueries (CONCAT without separator)."""
-    def scalar(df, expr):
-        return df.select(expr).scalar()
-    pair = lambda: F.concat(F.col("session_id"), F.col(KW))
-    return {
-        "total_loads": scalar(base, F.count_distinct(pair())),
-        "total_clicks": scalar(clicks, F.count_distinct(pair())),
-        "total_keywords": scalar(base, F.count_distinct(F.col(KW))),
-    }
+def distinct_counts(base: DataFrame, clicks: DataFrame) -> DataFrame:
+    """A2-A4 in one pass: distinct counts of loads and clicks, per keyword and over all.
+
+    Every (session, keyword) becomes one row of each grouping set: the
+    session under its keyword, and the pair (CONCAT without separator) under
+    one of ``_SPREAD`` salts, so that no task counts all pairs. One distinct
+    on all columns serves both sets.
+
+    Returns is_load, set, key (keyword or null), salt, n: rows to be summed by :func:`keyword_counts`
+    and :func:`funnel_totals`.
+    """
+    def expanded(df: DataFrame, is_load: bool) -> DataFrame:
+        pair = F.concat(F.col("session_id"), F.col(KW))
+        none = F.lit(None).cast("string")
+        sets = F.array(
+            F.struct(F.lit(_BY_KEYWORD).alias("set"), F.col(KW).alias("key"), F.lit(0).cast("long").alias("salt"),
+                     F.col("session_id").alias("value")),
+            F.struct(F.lit(_PAIRS).alias("set"), none.alias("key"),
+                     F.pmod(F.xxhash64(pair), F.lit(_SPREAD)).alias("salt"), pair.alias("value")))
+        return df.select(F.lit(is_load).alias("is_load"), F.inline(sets))
+    every = expanded(base, True).unionByName(expanded(clicks, False)).distinct()
+    return every.groupBy("is_load", "set", "key", "salt").agg(F.count("value").alias("n"))
+
+
+_SPREAD = 64            # salts of the pairs
+
+
+def keyword_counts(counted: DataFrame) -> DataFrame:
+    """A2: distinct sessions per keyword for loads and clicks (null clicks when never clicked), of :func:`distinct_counts`."""
+    by_keyword = counted.where(F.col("set") == _BY_KEYWORD)
+    both = by_keyword.groupBy(F.col("key").alias(KW)).agg(
+        F.max(F.when(F.col("is_load"), F.col("n"))).alias("search_loads"),
+        F.max(F.when(~F.col("is_load") & F.col("key").isNotNull(), F.col("n"))).alias("search_clicks"))
+    return both.where(F.col("search_loads").isNotNull())
+
+
+def funnel_totals(counted: DataFrame) -> DataFrame:
+    """A3/A4: distinct (session, keyword) pairs of loads and of clicks and distinct keywords of loads, as one row."""
+    pairs = F.col("set") == _PAIRS
+    return counted.agg(
+        F.coalesce(F.sum(F.when(pairs & F.col("is_load"), F.col("n"))), F.lit(0)).alias("total_loads"),
+        F.coalesce(F.sum(F.when(pairs & ~F.col("is_load"), F.col("n"))), F.lit(0)).alias("total_clicks"),
+        F.count(F.when(~pairs & F.col("is_load"), F.col("key"))).alias("total_keywords"))
 
 
 def sales_categories(paths: DataFrame) -> DataFrame:
@@ -91,13 +122,20 @@ def sales_categories(paths: DataFrame) -> DataFrame:
 
 
 def keyword_facts(views: DataFrame, clicks: DataFrame, kw_map: DataFrame, paths: DataFrame,
-                  cfg: FactsConfig = FactsConfig()) -> DataFrame:
-    """One row per distinct filled load, with click match, counts, names and totals (32 columns)."""
+                  cfg: FactsConfig = FactsConfig(), stage=None) -> DataFrame:
+    """One row per distinct filled load, with click match, counts, names and totals (32 columns).
+
+    ``stage`` writes the counts (one row per keyword, side and salt) to a table; without it their plan is
+    repeated for the counts and for each total.
+    """
     base = loads_base(views, cfg)
     loads = fill_category(base, keyword_category(kw_map))
     cb = clicks_base(clicks, cfg)
-    counts = keyword_counts(base.select("session_id", KW), cb)
-    totals = funnel_totals(base.select("session_id", KW), cb)
+    counted = distinct_counts(base.select("session_id", KW), cb.select("session_id", KW))
+    if stage is not None:
+        counted = stage(counted, "keyword_counts")
+    counts = keyword_counts(counted)
+    totals = {c: funnel_totals(counted).select(c).scalar() for c in ("total_loads", "total_clicks", "total_keywords")}
     cbm = cb.select(F.col("session_id").alias("__cb_s"), F.col("search_id").alias("__cb_q"),
                     F.col(KW).alias("__cb_k"))
     out = loads.join(cbm, (F.col("session_id") == F.col("__cb_s")) & (F.col("search_id") == F.col("__cb_q"))

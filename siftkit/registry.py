@@ -134,6 +134,19 @@ def category_paths_q(c: Context) -> DataFrame:
     return _catalog.category_paths(c.fx["fx_category"], FACTS_CFG.catalog_code, FACTS_CFG.levels)
 
 
+def category_paths_any_depth_q(c: Context) -> DataFrame:
+    """Paths of any depth by their links, cycles marked."""
+    return _catalog.category_paths_any_depth(c.fx["fx_category"], FACTS_CFG.catalog_code, materialize)
+
+
+def counted_frame_q(c: Context) -> DataFrame:
+    """A query's result as a frame together with its row count, by one job."""
+    from .sources.tables import materialize_counted
+    views = c.views().groupBy("date", "business_channel").agg(F.count_distinct("session_id").alias("sessions"))
+    frame, rows = materialize_counted(views, "views-by-channel")
+    return frame.withColumn("rows", F.lit(rows))
+
+
 def category_mapping_q(c: Context) -> DataFrame:
     return _catalog.map_search_categories(c.views(), c.fx["fx_category"], c.paths(), FACTS_CFG)
 
@@ -148,22 +161,20 @@ def deepest_category_q(c: Context) -> DataFrame:
 
 # ---------------------------------------------------------------- J5
 def keyword_facts_q(c: Context) -> DataFrame:
-    return _facts.keyword_facts(c.views(), c.clicks(), c.fx["fx_kw_category"], c.paths(), FACTS_CFG)
+    return _facts.keyword_facts(c.views(), c.clicks(), c.fx["fx_kw_category"], c.paths(), FACTS_CFG, materialize)
+
+
+def _counted(c: Context) -> DataFrame:
+    return _facts.distinct_counts(_facts.loads_base(c.views(), FACTS_CFG).select("session_id", _facts.KW),
+                                  _facts.clicks_base(c.clicks(), FACTS_CFG).select("session_id", _facts.KW))
 
 
 def keyword_loads_clicks_q(c: Context) -> DataFrame:
-    base = _facts.loads_base(c.views(), FACTS_CFG).select("session_id", _facts.KW)
-    return _facts.keyword_counts(base, _facts.clicks_base(c.clicks(), FACTS_CFG))
+    return _facts.keyword_counts(_counted(c))
 
 
 def funnel_totals_q(c: Context) -> DataFrame:
-    base = _facts.loads_base(c.views(), FACTS_CFG)
-    pair = F.concat(F.col("session_id"), F.col(_facts.KW))
-    clicks_total = _facts.clicks_base(c.clicks(), FACTS_CFG).select(
-        F.count_distinct(F.concat(F.col("session_id"), F.col(_facts.KW)))).scalar()
-    return base.agg(F.count_distinct(pair).alias("total_loads"),
-                    F.count_distinct(_facts.KW).alias("total_keywords")).select(
-        "total_loads", clicks_total.alias("total_clicks"), "total_keywords")
+    return _facts.funnel_totals(_counted(c))
 
 
 def keyword_category_any_q(c: Context) -> DataFrame:
@@ -177,6 +188,8 @@ def category_fill_in_q(c: Context) -> DataFrame:
 
 QUERIES.update({
     "category_paths": category_paths_q,
+    "category_paths_any_depth": category_paths_any_depth_q,
+    "counted_frame": counted_frame_q,
     "category_mapping": category_mapping_q,
     "path_explode": path_explode_q,
     "deepest_category": deepest_category_q,

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..session import ensure_checkpoint_dir
@@ -37,6 +38,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def materialize_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """A query's result as a stored frame with its row count, both from the one job that writes it.
+
+    The count is an observed metric at the top of the plan, taken in the
+    writing tasks; a partition that is computed again counts once.
+    """
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    stored = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return stored, int(seen.get["rows"])
+
+
 def write_colocated(df: DataFrame, name: str, path: str, partition_col: str, keys: list[str], buckets: int) -> DataFrame:
     """A table partitioned by ``partition_col`` and bucketed by ``keys``, for joins and aggregates on ``keys`` without a shuffle.
 
