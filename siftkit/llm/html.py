@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import html as _entities
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -14,16 +16,15 @@ from .common import prepare, store, table
 GROUP_PAGES = 256            # pages of a host whose token streams are joined in one task
 GROUP_CHARS = 16 << 20       # and the characters of such a group
 DEPTH = 8                    # tokens that a repeated substring has at least
-MIN_PAGES = 3                # different pages a repeated substring is boilerplate from
-MIN_SHARE_PCT = 20           # and the share of its group's pages
-ARTICLE_PAGES = 20           # inside articles only in groups of so many pages,
-ARTICLE_SHARE_PCT = 50       # on so many of them,
-ARTICLE_REST_PCT = 70        # and where so much of the article is left
+MIN_PAGES = 5                # different pages of a host that a repeated substring is boilerplate from
+SHARE_PCT = 50               # and the share of the host's different pages
+ARTICLE_REST_PCT = 70        # what stays of an article at least, else it is a copy and stays whole
 
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "canvas"}
-DROPPED = {"nav", "aside", "footer", "form", "button", "select", "menu", "dialog", "figcaption", "label", "head"}
+DROPPED = {"nav", "aside", "footer", "form", "button", "select", "menu", "dialog", "label", "head"}
+EMBEDDED = {"noscript", "template", "svg", "math", "object", "canvas"}     # of these, passed over where never closed
 BLOCKS = {"p", "div", "section", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt",
-          "dd", "table", "thead", "tbody", "tfoot", "tr", "td", "th", "blockquote", "pre", "figure", "header", "hr",
+          "dd", "table", "thead", "tbody", "tfoot", "tr", "td", "th", "blockquote", "pre", "figure", "figcaption", "header", "hr",
           "body", "html", "address", "details", "summary", "fieldset", "center"} | DROPPED
 BOXES = {"div", "section", "article", "main", "header", "ul", "ol", "dl", "table", "blockquote", "figure", "body",
          "details", "span", "li"} | DROPPED
@@ -39,14 +40,16 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>
 _ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 
 
-def _unwanted(attrs: str) -> bool:
+def _unwanted(attrs: str, in_article: bool) -> bool:
+    """Whether role, hidden mark, class or id words say so; a header inside an article holds its title and stays."""
+    words = UNWANTED - {"header"} if in_article else UNWANTED
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "role" and value.strip() in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         if name in ("class", "id"):
             for word in value.split():
-                if word in UNWANTED or UNWANTED & set(re.split(r"[-_]", word)):
+                if word in words or words & set(re.split(r"[-_]", word)):
                     return True
     return False
 
@@ -56,13 +59,15 @@ def blocks_of(html: str | None) -> tuple[list[str], bool]:
 
     Where there is an article its blocks are the text; else all blocks
     outside unwanted elements. A closing tag without its opening one is
-    passed over; elements that stay open end with the page.
+    passed over; elements that stay open end with the page, but an embedded
+    object that is never closed is passed over alone.
     """
     html = html or ""
     inside, outside = [], []
     part: list[str] = []
     boxes: list[tuple[str, bool, bool]] = []     # open elements: name, unwanted, article
     dropped = articles = 0
+    endless: set[str] = set()                    # raw elements without a closing tag in the rest of the page
     at = 0
 
     def flush() -> None:
@@ -91,8 +96,14 @@ def blocks_of(html: str | None) -> tuple[list[str], bool]:
                         break
             continue
         if name in RAW:
-            close = re.compile(rf"</{name}\s*>", re.I).search(html, at) if not m[3].endswith("/") else None
-            at = close.end() if close else (at if m[3].endswith("/") else len(html))
+            if not m[3].endswith("/") and name not in endless:
+                close = re.compile(rf"</{name}\s*>", re.I).search(html, at)
+                if close:
+                    at = close.end()
+                elif name in EMBEDDED:
+                    endless.add(name)
+                else:
+                    at = len(html)
             part.append(" ")
             continue
         if name == "br":
@@ -100,7 +111,7 @@ def blocks_of(html: str | None) -> tuple[list[str], bool]:
         if name in BLOCKS:
             flush()
         if name in BOXES and not m[3].endswith("/"):
-            bad = name in DROPPED or (name == "header" and not articles) or (bool(m[3]) and _unwanted(m[3]))
+            bad = name in DROPPED or (name == "header" and not articles) or (bool(m[3]) and _unwanted(m[3], articles > 0))
             article = name in ("article", "main") and not bad
             boxes.append((name, bad, article))
             dropped += bad
@@ -140,35 +151,89 @@ def repeated(streams: list[list[int]], depth: int) -> tuple[list, list]:
     return [c[:-1] for c in cut], lengths.tolist()
 
 
-def _cover(pages, least: int, depth: int):
-    """Which tokens lie in a substring that is on ``least`` pages or more."""
+def _cover(starts, depth: int):
+    """Which tokens lie in a substring of ``depth`` tokens that starts at a marked place."""
     import numpy as np
-    hit = np.zeros(len(pages) + 1, dtype=np.int64)
-    start = np.flatnonzero(pages >= least)
+    hit = np.zeros(len(starts) + 1, dtype=np.int64)
+    start = np.flatnonzero(starts)
     np.add.at(hit, start, 1)
-    np.add.at(hit, np.minimum(start + depth, len(pages)), -1)
+    np.add.at(hit, np.minimum(start + depth, len(starts)), -1)
     return np.cumsum(hit)[:-1] > 0
 
 
-def _extract(pdf: pd.DataFrame) -> pd.DataFrame:
-    parsed = [blocks_of(h) for h in pdf["html"]]
+def _tokens(blocks) -> list[str]:
+    return [w for b in blocks for w in b.split(" ")]
+
+
+def window_keys(tokens: list[str], hashes: dict[str, int], depth: int = DEPTH):
+    """A 64-bit key of the ``depth`` tokens at each place of a page where so many are left, the same in every task."""
+    import numpy as np
+    for w in tokens:
+        if w not in hashes:
+            hashes[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+    n = len(tokens) - depth + 1
+    keys = np.zeros(max(n, 0), dtype=np.uint64)
+    if n > 0:
+        each = np.array([hashes[w] for w in tokens], dtype=np.uint64)
+        for k in range(depth):
+            keys = keys * np.uint64(0x9E3779B97F4A7C15) + each[k:k + n]
+    return keys.view(np.int64)
+
+
+_PARSED = "uid long, page_id long, url string, host string, blocks array<string>, article boolean"
+
+
+def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        parsed = [blocks_of(h) for h in pdf["html"]]
+        yield pd.DataFrame({"uid": pdf["uid"], "page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"], "host": pdf["host"],
+                            "blocks": [b for b, _ in parsed], "article": [a for _, a in parsed]})
+
+
+def _frequent(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The substrings that are on the needed share of a group's pages, by the suffix array of the group."""
+    import numpy as np
+    host, part = pdf["host"].iloc[0], pdf["part"].iloc[0]
+    words = [_tokens(b) for b in pdf["blocks"]]
     vocabulary: dict[str, int] = {}
-    streams = [[vocabulary.setdefault(w, len(vocabulary)) for b in blocks for w in b.split(" ")] for blocks, _ in parsed]
-    n = len(parsed)
-    texts = []
-    counts = repeated(streams, DEPTH)[0] if n >= MIN_PAGES else [None] * n
-    for (blocks, article), pages in zip(parsed, counts, strict=True):
-        if pages is None or not len(pages):
-            texts.append("\n\n".join(blocks))
-            continue
-        if article:
-            covered = _cover(pages, max(MIN_PAGES, -(-n * ARTICLE_SHARE_PCT // 100)), DEPTH) if n >= ARTICLE_PAGES else None
-            if covered is not None and (~covered).sum() * 100 < len(covered) * ARTICLE_REST_PCT:
-                covered = None
-        else:
-            covered = _cover(pages, max(MIN_PAGES, -(-n * MIN_SHARE_PCT // 100)), DEPTH)
-        if covered is None or not covered.any():
-            texts.append("\n\n".join(blocks))
+    counts = repeated([[vocabulary.setdefault(w, len(vocabulary)) for w in ws] for ws in words], DEPTH)[0]
+    least = -(-len(pdf) * SHARE_PCT // 100)
+    hashes: dict[str, int] = {}
+    found: set[int] = set()
+    for ws, pages in zip(words, counts, strict=True):
+        often = np.flatnonzero(pages >= max(least, 1))
+        if len(often):
+            found.update(window_keys(ws, hashes)[often].tolist())
+    return pd.DataFrame({"host": host, "part": part, "window": sorted(found)}).astype({"window": "int64", "part": "int64"})
+
+
+def _count(pages: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+    """On how many pages of a group each asked substring is."""
+    import numpy as np
+    if not len(pages) or not len(asked):
+        return pd.DataFrame({"host": pd.Series(dtype=object), "window": pd.Series(dtype="int64"), "pages": pd.Series(dtype="int64")})
+    windows = np.unique(asked["window"].to_numpy())
+    seen = np.zeros(len(windows), dtype=np.int64)
+    hashes: dict[str, int] = {}
+    for blocks in pages["blocks"]:
+        keys = np.unique(window_keys(_tokens(blocks), hashes))
+        seen += np.isin(windows, keys)
+    return pd.DataFrame({"host": pages["host"].iloc[0], "window": windows, "pages": seen})
+
+
+def _clean(pages: pd.DataFrame, boilerplate: pd.DataFrame) -> pd.DataFrame:
+    """The texts that change when the tokens covered by a host's boilerplate go."""
+    import numpy as np
+    out = []
+    windows = boilerplate["window"].to_numpy()
+    hashes: dict[str, int] = {}
+    for host, content, blocks, article in zip(pages["host"], pages["content"], pages["blocks"], pages["article"], strict=True):
+        tokens = _tokens(blocks)
+        starts = np.zeros(len(tokens), dtype=bool)
+        keys = window_keys(tokens, hashes)
+        starts[:len(keys)] = np.isin(keys, windows)
+        covered = _cover(starts, DEPTH)
+        if not covered.any() or article and (~covered).sum() * 100 < len(covered) * ARTICLE_REST_PCT:
             continue
         kept, at = [], 0
         for b in blocks:
@@ -177,9 +242,29 @@ def _extract(pdf: pd.DataFrame) -> pd.DataFrame:
             at += len(words)
             if left:
                 kept.append(left)
-        texts.append("\n\n".join(kept))
-    return pd.DataFrame({"page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"], "text": texts,
-                         "n_chars": [len(t) for t in texts]})
+        out.append((host, content, "\n\n".join(kept)))
+    return pd.DataFrame(out, columns=["host", "content", "cleaned"]).astype(object)
+
+
+def host_boilerplate(distinct: DataFrame, hosts: DataFrame) -> DataFrame:
+    """The substrings of ``DEPTH`` tokens on enough pages of their whole host: rows (host, window, groups).
+
+    ``distinct`` holds a host's different pages dealt into groups (host, part, blocks), ``hosts`` the
+    number of pages and groups of each. What is on a share of a host's pages is on that share of
+    at least one of its groups, so the groups' suffix arrays give all candidates; a
+    second pass counts those on every group and Spark adds the counts up. A
+    longer repeated substring is covered by its windows of ``DEPTH`` tokens, each of them on as many pages.
+    """
+    asked = store(distinct.groupBy("host", "part").applyInPandas(_frequent, "host string, part long, window long")
+                  .select("host", "window").distinct().join(hosts, "host"), "page-asked")
+    everywhere = asked.select("host", "window", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"))
+    pages = distinct.join(asked.select("host").distinct(), "host", "left_semi")
+    counted = (pages.select("host", "part", "blocks").groupBy("host", "part")
+               .cogroup(everywhere.groupBy("host", "part")).applyInPandas(_count, "host string, window long, pages long")
+               .groupBy("host", "window").agg(F.sum("pages").alias("pages")))
+    return store(counted.join(hosts, "host").filter((F.col("pages") >= MIN_PAGES)
+                                                    & (F.col("pages") * 100 >= F.col("n") * SHARE_PCT))
+                 .select("host", "window", "groups"), "page-boilerplate")
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -187,32 +272,41 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
 
     Markup, menus, headers, footers, sidebars, notices, adverts, forms,
     scripts, styles and reader comments go by their elements, classes and
-    roles. Then the token streams of the pages of a host are joined and a
+    roles. Then the token streams of the different pages of a host are joined and a
     suffix array gives the substrings of ``DEPTH`` tokens or more that
-    different pages share; tokens covered by those on enough pages go, and
-    unique runs stay. In an article only text on most pages of a large
-    group goes, and only if most of the article is left, so copied articles
-    stay whole. A host with many pages is dealt into groups of about
-    ``GROUP_PAGES`` pages (boilerplate repeats in each of them), so no host
-    lies in one task. Each page is shuffled once.
+    different pages share; tokens covered by those on ``MIN_PAGES`` and
+    ``SHARE_PCT`` of the host's pages go, and unique runs stay. An article
+    of which less than ``ARTICLE_REST_PCT`` would be left is a copy and stays whole.
+
+    A host with many pages is dealt into groups, so no host lies in one
+    task, and the counts of its groups are added up (:func:`host_boilerplate`): the result does not depend
+    on the dealing. The html is read once; pages of equal text on a host count once and are cleaned once.
 
     Null and empty html: empty text. A null or unusual url is a host of its
     own kind (empty). Repeated rows give a result row each. No rows: no
-    rows. Extra columns are ignored.
+    rows. Extra columns are ignored. Long pages are taken whole.
 
     Returns page_id, url, text, n_chars.
     """
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
-                        F.col(html_col).alias("html"))
-    host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
-    sizes = store(rows.groupBy(host.alias("s_host")).agg(
-        F.count("*").alias("n"), F.sum(F.coalesce(F.length("html"), F.lit(0))).alias("chars")), "page-hosts")
-    sizes = sizes.select("s_host", F.greatest(F.ceil(F.col("n") / GROUP_PAGES), F.ceil(F.col("chars") / GROUP_CHARS),
-                                              F.lit(1)).alias("groups")).filter("groups > 1")
-    salted = (rows.withColumn("host", host).join(sizes, F.col("host") == F.col("s_host"), "left")
-              .withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("groups", F.lit(1)))))
-    return (salted.select("page_id", "url", "html", "host", "part").groupBy("host", "part")
-            .applyInPandas(_extract, "page_id long, url string, text string, n_chars long"))
+    host = F.coalesce(F.lower(F.regexp_extract(url_col, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
+    rows = pages.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("page_id"),
+                        F.col(url_col).alias("url"), host.alias("host"), F.col(html_col).alias("html"))
+    whole = F.array_join("blocks", "\n\n")
+    parsed = store(rows.mapInPandas(_parse, _PARSED).withColumn("content", F.md5(whole.cast("binary"))), "page-blocks")
+    distinct = parsed.groupBy("host", "content").agg(F.first("blocks").alias("blocks"), F.first("article").alias("article"))
+    sizes = parsed.groupBy("host", "content").agg(F.first(F.length(whole)).alias("chars"))
+    hosts = store(sizes.groupBy("host").agg(F.count("*").alias("n"), F.sum("chars").alias("chars")).filter(F.col("n") >= MIN_PAGES)
+                  .select("host", "n", F.greatest(F.ceil(F.col("n") / GROUP_PAGES), F.ceil(F.col("chars") / GROUP_CHARS),
+                                                  F.lit(1)).cast("long").alias("groups")), "page-hosts")
+    dealt = (distinct.join(hosts.select("host", "groups"), "host")
+             .withColumn("part", F.pmod(F.xxhash64("content"), "groups")).drop("groups"))
+    boilerplate = host_boilerplate(dealt.select("host", "part", "blocks"), hosts)
+    told = boilerplate.select("host", "window", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"))
+    changed = (dealt.join(boilerplate.select("host").distinct(), "host", "left_semi").groupBy("host", "part")
+               .cogroup(told.groupBy("host", "part")).applyInPandas(_clean, "host string, content string, cleaned string"))
+    out = parsed.join(store(changed, "page-changed"), ["host", "content"], "left")
+    text = F.coalesce("cleaned", whole)
+    return out.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
 
 
 def op7_host_suffix_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -252,6 +252,78 @@ def test_repeated_host_text_goes_and_unique_runs_stay(spark):
     assert all(got[50 + i] == notice for i in range(3))
 
 
+def test_page_parts_that_stay():
+    def text(html):
+        return "|".join(pages_op.blocks_of(html)[0])
+    assert text("<article><p>One</p><object data=x><p>Two</p><svg><p>Three</p></article>") == "One|Two|Three"
+    assert text("<article><p>One</p><svg><text>no</text></svg><p>Two</p><script>rest") == "One|Two"
+    assert text('<article><div class="post-header"><h1>Title</h1></div><figure><img><figcaption>Seen</figcaption></figure>') == "Title|Seen"
+    assert text('<div class="site-header">Menu</div><p>Body</p>') == "Body"
+    assert text("<p>x" + "<svg>" * 20000) == "x"
+
+
+def slow_host_text(pages):
+    """The rule on whole hosts: all substrings of DEPTH tokens, counted over different pages."""
+    depth, out = pages_op.DEPTH, {}
+    hosts = defaultdict(set)
+    for _, host, blocks, article in pages:
+        hosts[host].add((tuple(blocks), article))
+    for i, host, blocks, article in pages:
+        where = defaultdict(int)
+        for other, _ in hosts[host]:
+            ws = " ".join(other).split()
+            for w in {tuple(ws[k:k + depth]) for k in range(len(ws) - depth + 1)}:
+                where[w] += 1
+        n = len(hosts[host])
+        ws = " ".join(blocks).split()
+        gone = set()
+        for k in range(len(ws) - depth + 1):
+            c = where[tuple(ws[k:k + depth])]
+            if c >= pages_op.MIN_PAGES and c * 100 >= n * pages_op.SHARE_PCT:
+                gone.update(range(k, k + depth))
+        if article and (len(ws) - len(gone)) * 100 < len(ws) * pages_op.ARTICLE_REST_PCT:
+            gone = set()
+        kept, at = [], 0
+        for b in blocks:
+            m = len(b.split())
+            left = " ".join(w for k, w in enumerate(b.split(), at) if k not in gone)
+            at += m
+            kept += [left] if left else []
+        out[i] = "\n\n".join(kept)
+    return out
+
+
+@pytest.mark.parametrize("group", [256, 4])
+def test_host_boilerplate_against_brute_force_whatever_the_groups(spark, monkeypatch, group):
+    """Text goes from inside articles too; dealing a host into groups of four pages changes nothing."""
+    import random
+    monkeypatch.setattr(pages_op, "GROUP_PAGES", group)
+    rng = random.Random(5)
+    said = [" ".join(f"b{j}w{k}" for k in range(12)) for j in range(3)]
+    pages = []
+    for i in range(60):
+        host = "big" if i < 45 else "small"
+        own = [" ".join(f"p{i}x{rng.randrange(99)}" for _ in range(30)) for _ in range(2)]
+        blocks = [own[0], *([said[0]] if i % 5 else []), *([said[1]] if i % 2 else []), *([said[2]] if i % 9 == 0 else []), own[1]]
+        if i in (7, 8, 9):
+            blocks = ["copied " * 30 + "text", said[0]]
+        pages.append((i, host, blocks, i % 3 != 0))
+    pages += [(100 + k, "few", [said[0] + f" at the end {k}"], False) for k in range(4)]
+    pages += [(200 + k, "same", [said[0]], False) for k in range(9)]
+    html = [(i, f"http://{h}/{i}", ("<article>" if a else "") + "".join(f"<p>{b}</p>" for b in bs)) for i, h, bs, a in pages]
+    got = {r["page_id"]: r["text"] for r in pages_op.extract_main_text(
+        spark.createDataFrame(html, "page_id long, url string, html string").repartition(5)).collect()}
+    want = slow_host_text([(i, h, [" ".join(b.split()) for b in bs], a) for i, h, bs, a in pages])
+    assert got == want
+    inside = [i for i, h, bs, a in pages if a and h == "big" and want[i] != "\n\n".join(" ".join(b.split()) for b in bs)]
+    assert len(inside) > 10
+
+
+def test_no_pages(spark):
+    none = spark.createDataFrame([], "page_id long, url string, html string, text string, host string")
+    assert pages_op.extract_main_text(none).collect() == []
+
+
 def test_suffix_ranks_against_brute_force():
     import random
     rng = random.Random(3)
