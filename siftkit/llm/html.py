@@ -180,14 +180,23 @@ def window_keys(tokens: list[str], hashes: dict[str, int], depth: int = DEPTH):
     return keys.view(np.int64)
 
 
-_PARSED = "uid long, page_id long, url string, host string, blocks array<string>, article boolean"
+_PARSED = "page_id long, url string, host string, blocks array<string>, article boolean, content string, first boolean"
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Blocks of each page, a key of its text, and whether it is the task's first page of that host with that text."""
+    seen: set[tuple[str, str]] = set()
     for pdf in batches:
         parsed = [blocks_of(h) for h in pdf["html"]]
-        yield pd.DataFrame({"uid": pdf["uid"], "page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"], "host": pdf["host"],
-                            "blocks": [b for b, _ in parsed], "article": [a for _, a in parsed]})
+        contents, first = [], []
+        for host, (blocks, article) in zip(pdf["host"], parsed, strict=True):
+            text = f"{int(article)}" + "\n\n".join(blocks)
+            contents.append(hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest())
+            first.append((host, contents[-1]) not in seen)
+            seen.add((host, contents[-1]))
+        yield pd.DataFrame({"page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"], "host": pdf["host"],
+                            "blocks": [b for b, _ in parsed], "article": [a for _, a in parsed], "content": contents,
+                            "first": first})
 
 
 def _frequent(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -246,19 +255,33 @@ def _clean(pages: pd.DataFrame, boilerplate: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["host", "content", "cleaned"]).astype(object)
 
 
-def host_boilerplate(distinct: DataFrame, hosts: DataFrame) -> DataFrame:
+def _deal(parsed: DataFrame, hosts: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """The different pages of the hosts (of ``only``), dealt by their text into each host's groups.
+
+    Copies go in their task where they are read, then after the one shuffle of the texts: rows equal in
+    text share a group, and the aggregation there spills instead of gathering them.
+    """
+    pages = parsed.filter("first").drop("first", "page_id", "url")
+    if only is not None:
+        pages = pages.join(only, "host", "left_semi")
+    return (pages.join(hosts.select("host", "groups"), "host")
+            .withColumn("part", F.pmod(F.xxhash64("content"), "groups")).drop("groups").repartition("host", "part")
+            .groupBy("host", "part", "content").agg(F.first("blocks").alias("blocks"), F.first("article").alias("article")))
+
+
+def host_boilerplate(parsed: DataFrame, hosts: DataFrame) -> DataFrame:
     """The substrings of ``DEPTH`` tokens on enough pages of their whole host: rows (host, window, groups).
 
-    ``distinct`` holds a host's different pages dealt into groups (host, part, blocks), ``hosts`` the
-    number of pages and groups of each. What is on a share of a host's pages is on that share of
-    at least one of its groups, so the groups' suffix arrays give all candidates; a
-    second pass counts those on every group and Spark adds the counts up. A
-    longer repeated substring is covered by its windows of ``DEPTH`` tokens, each of them on as many pages.
+    ``hosts`` holds the number of different pages and of groups of each host. What is on a share of a
+    host's pages is on that share of at least one of its groups, so the groups' suffix arrays give all
+    candidates; a second pass counts those on every group of the hosts that have any, and Spark adds the
+    counts up. A longer repeated substring is covered by its windows of ``DEPTH`` tokens, each on as many pages.
     """
-    asked = store(distinct.groupBy("host", "part").applyInPandas(_frequent, "host string, part long, window long")
+    asked = store(_deal(parsed, hosts).select("host", "part", "blocks").groupBy("host", "part")
+                  .applyInPandas(_frequent, "host string, part long, window long")
                   .select("host", "window").distinct().join(hosts, "host"), "page-asked")
     everywhere = asked.select("host", "window", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"))
-    pages = distinct.join(asked.select("host").distinct(), "host", "left_semi")
+    pages = _deal(parsed, hosts, asked.select("host").distinct())
     counted = (pages.select("host", "part", "blocks").groupBy("host", "part")
                .cogroup(everywhere.groupBy("host", "part")).applyInPandas(_count, "host string, window long, pages long")
                .groupBy("host", "window").agg(F.sum("pages").alias("pages")))
@@ -289,20 +312,17 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     Returns page_id, url, text, n_chars.
     """
     host = F.coalesce(F.lower(F.regexp_extract(url_col, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
-    rows = pages.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("page_id"),
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"),
                         F.col(url_col).alias("url"), host.alias("host"), F.col(html_col).alias("html"))
+    parsed = store(rows.mapInPandas(_parse, _PARSED), "page-blocks")
     whole = F.array_join("blocks", "\n\n")
-    parsed = store(rows.mapInPandas(_parse, _PARSED).withColumn("content", F.md5(whole.cast("binary"))), "page-blocks")
-    distinct = parsed.groupBy("host", "content").agg(F.first("blocks").alias("blocks"), F.first("article").alias("article"))
-    sizes = parsed.groupBy("host", "content").agg(F.first(F.length(whole)).alias("chars"))
+    sizes = parsed.filter("first").groupBy("host", "content").agg(F.max(F.length(whole)).alias("chars"))
     hosts = store(sizes.groupBy("host").agg(F.count("*").alias("n"), F.sum("chars").alias("chars")).filter(F.col("n") >= MIN_PAGES)
                   .select("host", "n", F.greatest(F.ceil(F.col("n") / GROUP_PAGES), F.ceil(F.col("chars") / GROUP_CHARS),
                                                   F.lit(1)).cast("long").alias("groups")), "page-hosts")
-    dealt = (distinct.join(hosts.select("host", "groups"), "host")
-             .withColumn("part", F.pmod(F.xxhash64("content"), "groups")).drop("groups"))
-    boilerplate = host_boilerplate(dealt.select("host", "part", "blocks"), hosts)
+    boilerplate = host_boilerplate(parsed, hosts)
     told = boilerplate.select("host", "window", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"))
-    changed = (dealt.join(boilerplate.select("host").distinct(), "host", "left_semi").groupBy("host", "part")
+    changed = (_deal(parsed, hosts, boilerplate.select("host").distinct()).groupBy("host", "part")
                .cogroup(told.groupBy("host", "part")).applyInPandas(_clean, "host string, content string, cleaned string"))
     out = parsed.join(store(changed, "page-changed"), ["host", "content"], "left")
     text = F.coalesce("cleaned", whole)
