@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import html as _entities
 import re
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -165,12 +166,16 @@ def _tokens(blocks) -> list[str]:
     return [w for b in blocks for w in b.split(" ")]
 
 
+def _unpack_all(packed: pd.Series) -> pd.Series:
+    return packed.map(_unpack)
+
+
 def window_keys(tokens: list[str], hashes: dict[str, int], depth: int = DEPTH):
     """A 64-bit key of the ``depth`` tokens at each place of a page where so many are left, the same in every task."""
     import numpy as np
     for w in tokens:
         if w not in hashes:
-            hashes[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+            hashes[w] = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
     n = len(tokens) - depth + 1
     keys = np.zeros(max(n, 0), dtype=np.uint64)
     if n > 0:
@@ -180,7 +185,22 @@ def window_keys(tokens: list[str], hashes: dict[str, int], depth: int = DEPTH):
     return keys.view(np.int64)
 
 
-_PARSED = "page_id long, url string, host string, blocks array<string>, article boolean, content string, first boolean"
+_PARSED = ("page_id long, url string, host string, packed binary, article boolean, content string, chars long, "
+           "first boolean")
+
+
+def _pack(text: str) -> bytes:
+    """A page's text as it is stored and shuffled: compressed, since every pass carries whole texts."""
+    return zlib.compress(text.encode("utf-8"), 4)
+
+
+def _unpack(packed: bytes) -> str:
+    return zlib.decompress(packed).decode("utf-8")
+
+
+def _blocks(packed: bytes) -> list[str]:
+    text = _unpack(packed)
+    return text.split("\n\n") if text else []
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -188,22 +208,22 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     seen: set[tuple[str, str]] = set()
     for pdf in batches:
         parsed = [blocks_of(h) for h in pdf["html"]]
+        texts = ["\n\n".join(blocks) for blocks, _ in parsed]
         contents, first = [], []
-        for host, (blocks, article) in zip(pdf["host"], parsed, strict=True):
-            text = f"{int(article)}" + "\n\n".join(blocks)
-            contents.append(hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest())
+        for host, text, (_, article) in zip(pdf["host"], texts, parsed, strict=True):
+            contents.append(hashlib.md5(f"{int(article)}{text}".encode()).hexdigest())
             first.append((host, contents[-1]) not in seen)
             seen.add((host, contents[-1]))
         yield pd.DataFrame({"page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"], "host": pdf["host"],
-                            "blocks": [b for b, _ in parsed], "article": [a for _, a in parsed], "content": contents,
-                            "first": first})
+                            "packed": [_pack(t) for t in texts], "article": [a for _, a in parsed], "content": contents,
+                            "chars": [len(t) for t in texts], "first": first})
 
 
 def _frequent(pdf: pd.DataFrame) -> pd.DataFrame:
     """The substrings that are on the needed share of a group's pages, by the suffix array of the group."""
     import numpy as np
     host, part = pdf["host"].iloc[0], pdf["part"].iloc[0]
-    words = [_tokens(b) for b in pdf["blocks"]]
+    words = [_tokens(_blocks(p)) for p in pdf["packed"]]
     vocabulary: dict[str, int] = {}
     counts = repeated([[vocabulary.setdefault(w, len(vocabulary)) for w in ws] for ws in words], DEPTH)[0]
     least = -(-len(pdf) * SHARE_PCT // 100)
@@ -224,8 +244,8 @@ def _count(pages: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
     windows = np.unique(asked["window"].to_numpy())
     seen = np.zeros(len(windows), dtype=np.int64)
     hashes: dict[str, int] = {}
-    for blocks in pages["blocks"]:
-        keys = np.unique(window_keys(_tokens(blocks), hashes))
+    for packed in pages["packed"]:
+        keys = np.unique(window_keys(_tokens(_blocks(packed)), hashes))
         seen += np.isin(windows, keys)
     return pd.DataFrame({"host": pages["host"].iloc[0], "window": windows, "pages": seen})
 
@@ -236,7 +256,8 @@ def _clean(pages: pd.DataFrame, boilerplate: pd.DataFrame) -> pd.DataFrame:
     out = []
     windows = boilerplate["window"].to_numpy()
     hashes: dict[str, int] = {}
-    for host, content, blocks, article in zip(pages["host"], pages["content"], pages["blocks"], pages["article"], strict=True):
+    for host, content, packed, article in zip(pages["host"], pages["content"], pages["packed"], pages["article"], strict=True):
+        blocks = _blocks(packed)
         tokens = _tokens(blocks)
         starts = np.zeros(len(tokens), dtype=bool)
         keys = window_keys(tokens, hashes)
@@ -261,12 +282,12 @@ def _deal(parsed: DataFrame, hosts: DataFrame, only: DataFrame | None = None) ->
     Copies go in their task where they are read, then after the one shuffle of the texts: rows equal in
     text share a group, and the aggregation there spills instead of gathering them.
     """
-    pages = parsed.filter("first").drop("first", "page_id", "url")
+    pages = parsed.filter("first").select("host", "content", "packed", "article")
     if only is not None:
         pages = pages.join(only, "host", "left_semi")
     return (pages.join(hosts.select("host", "groups"), "host")
             .withColumn("part", F.pmod(F.xxhash64("content"), "groups")).drop("groups").repartition("host", "part")
-            .groupBy("host", "part", "content").agg(F.first("blocks").alias("blocks"), F.first("article").alias("article")))
+            .groupBy("host", "part", "content").agg(F.first("packed").alias("packed"), F.first("article").alias("article")))
 
 
 def host_boilerplate(parsed: DataFrame, hosts: DataFrame) -> DataFrame:
@@ -277,12 +298,12 @@ def host_boilerplate(parsed: DataFrame, hosts: DataFrame) -> DataFrame:
     candidates; a second pass counts those on every group of the hosts that have any, and Spark adds the
     counts up. A longer repeated substring is covered by its windows of ``DEPTH`` tokens, each on as many pages.
     """
-    asked = store(_deal(parsed, hosts).select("host", "part", "blocks").groupBy("host", "part")
+    asked = store(_deal(parsed, hosts).select("host", "part", "packed").groupBy("host", "part")
                   .applyInPandas(_frequent, "host string, part long, window long")
                   .select("host", "window").distinct().join(hosts, "host"), "page-asked")
     everywhere = asked.select("host", "window", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"))
     pages = _deal(parsed, hosts, asked.select("host").distinct())
-    counted = (pages.select("host", "part", "blocks").groupBy("host", "part")
+    counted = (pages.select("host", "part", "packed").groupBy("host", "part")
                .cogroup(everywhere.groupBy("host", "part")).applyInPandas(_count, "host string, window long, pages long")
                .groupBy("host", "window").agg(F.sum("pages").alias("pages")))
     return store(counted.join(hosts, "host").filter((F.col("pages") >= MIN_PAGES)
@@ -315,8 +336,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"),
                         F.col(url_col).alias("url"), host.alias("host"), F.col(html_col).alias("html"))
     parsed = store(rows.mapInPandas(_parse, _PARSED), "page-blocks")
-    whole = F.array_join("blocks", "\n\n")
-    sizes = parsed.filter("first").groupBy("host", "content").agg(F.max(F.length(whole)).alias("chars"))
+    sizes = parsed.filter("first").groupBy("host", "content").agg(F.max("chars").alias("chars"))
     hosts = store(sizes.groupBy("host").agg(F.count("*").alias("n"), F.sum("chars").alias("chars")).filter(F.col("n") >= MIN_PAGES)
                   .select("host", "n", F.greatest(F.ceil(F.col("n") / GROUP_PAGES), F.ceil(F.col("chars") / GROUP_CHARS),
                                                   F.lit(1)).cast("long").alias("groups")), "page-hosts")
@@ -325,8 +345,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     changed = (_deal(parsed, hosts, boilerplate.select("host").distinct()).groupBy("host", "part")
                .cogroup(told.groupBy("host", "part")).applyInPandas(_clean, "host string, content string, cleaned string"))
     out = parsed.join(store(changed, "page-changed"), ["host", "content"], "left")
-    text = F.coalesce("cleaned", whole)
-    return out.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
+    text = F.coalesce("cleaned", F.pandas_udf(_unpack_all, "string")(F.col("packed")))
+    return out.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op7_host_suffix_text(spark: SparkSession, sf_dir: str) -> DataFrame:
