@@ -18,7 +18,6 @@ FOUND = "id"             # kind of the spans that the method adds
 MIN_SUPPORT = 3          # different seed values a pattern must have met
 MIN_CONFIDENCE = 0.8     # of a pattern
 ROUNDS = 3               # of the bootstrapping
-REACH = 80               # code points before a value in which its context words are looked for
 
 # Fixed values of the contract.
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -29,6 +28,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _RUN = re.compile(r"[0-9]\S*")
+_SHAPE = re.compile(r"([0-9]+)|[^\W\d_]+")
 _CORE = re.compile(r"[A-Za-z0-9][A-Za-z0-9._/-]{4,}")
 
 
@@ -74,21 +74,76 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _context(text: str, start: int) -> str:
-    """The two words before a value, in lower case without outer punctuation; empty if there are not two."""
-    words = [w.strip(".,;:!?\"'()[]{}<>=#*").lower() for w in text[max(0, start - REACH):start].split()[-2:]]
-    words = [w for w in words if w]
-    return " ".join(words) if len(words) == 2 and not any(c.isdigit() for w in words for c in w) else ""
+def _word(raw: str) -> str:
+    """A context word: lower case without outer punctuation; empty if it holds a digit."""
+    word = raw.strip(".,;:!?\"'()[]{}<>=#*").lower()
+    return "" if any(c.isdigit() for c in word) else word
 
 
-def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int, bool]]:
-    """(context, value, start, end, seed) of the base spans and of other words that hold a digit."""
+def _before(text: str, start: int) -> tuple[list[str], bool]:
+    """The two words before a place, the nearer first, as they stand; whether the nearer one begins its line."""
+    words, line_start = [], False
+    while len(words) < 2:
+        end = start
+        while end > 0 and text[end - 1].isspace():
+            end -= 1
+        start = end
+        while start > 0 and not text[start - 1].isspace():
+            start -= 1
+        if start == end:
+            break
+        if not words:
+            line_start = start == 0 or text[start - 1] == "\n"
+        words.append(text[start:end])
+    return words, line_start
+
+
+def _after(text: str, end: int) -> str:
+    """The next word behind the one that a value ends in."""
+    n = len(text)
+    while end < n and not text[end].isspace():
+        end += 1
+    while end < n and text[end].isspace():
+        end += 1
+    start = end
+    while end < n and not text[end].isspace():
+        end += 1
+    return text[start:end]
+
+
+def shape(value: str) -> str:
+    """Runs of digits with their lengths, runs of letters, and all other characters as they are."""
+    return _SHAPE.sub(lambda m: f"d{len(m[0])}" if m[1] else "a", value)
+
+
+def contexts(text: str, start: int, end: int) -> list[str]:
+    """The lexical patterns that a value stands in.
+
+    The two words before it; the word before it with its shape; its shape
+    with the word after it; and the label before it, a word that ends in
+    one of ``: = #``, marked where it begins its line.
+    """
+    words, line_start = _before(text, start)
+    near = _word(words[0]) if words else ""
+    form, behind = shape(text[start:end]), _word(_after(text, end))
+    out = []
+    if len(words) == 2 and near and _word(words[1]):
+        out.append(f"{_word(words[1])} {near}")
+    if near:
+        out.append(f"{near} <{form}>")
+    if behind:
+        out.append(f"<{form}> {behind}")
+    if near and words[0][-1] in ":=#":
+        out.append(f"{'^' if line_start else ''}{near}{words[0][-1]}")
+    return out
+
+
+def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[list[str], str, int, int, bool]]:
+    """(contexts, value, start, end, seed) of the base spans and of other words that hold a digit."""
     out = []
     taken = sorted((s, e) for _, s, e in base)
     for s, e in taken:
-        context = _context(text, s)
-        if context:
-            out.append((context, text[s:e], s, e, True))
+        out.append((contexts(text, s, e), text[s:e], s, e, True))
     last = 0
     for m in _RUN.finditer(text):
         start = m.start()
@@ -102,14 +157,12 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, s
         while e > s and text[e - 1] in "._/-":
             e -= 1
         if e - s >= 5 and any("0" <= c <= "9" for c in text[s:e]) and not any(a < e and s < b for a, b in taken):
-            context = _context(text, s)
-            if context:
-                out.append((context, text[s:e], s, e, False))
-    return out
+            out.append((contexts(text, s, e), text[s:e], s, e, False))
+    return [c for c in out if c[0]]
 
 
 _FOUND_SCHEMA = ("doc_id long, uid long, text_hash long, base array<struct<kind:string,start:long,end:long>>, "
-                 "candidates array<struct<context:string,value:string,start:long,end:long,seed:boolean>>")
+                 "candidates array<struct<contexts:array<string>,value:string,start:long,end:long,seed:boolean>>")
 
 
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -119,7 +172,7 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             text = text or ""
             base = base_spans(text)
             bases.append([{"kind": k, "start": s, "end": e} for k, s, e in base])
-            cands.append([{"context": c, "value": hashlib.blake2b(v.encode(), digest_size=16).hexdigest(),
+            cands.append([{"contexts": c, "value": hashlib.blake2b(v.encode(), digest_size=16).hexdigest(),
                            "start": s, "end": e, "seed": z} for c, v, s, e, z in candidates(text, base)])
         yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "uid": pdf["uid"], "text_hash": pdf["text_hash"],
                             "base": bases,
@@ -159,8 +212,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """All spans of personal data: one row per document.
 
     Fixed patterns give the base spans (emails, IPs, cards, phones). Their
-    values are the seeds: the two words before a seed are a lexical pattern;
-    patterns and the values they meet form a graph that
+    values are the seeds: each stands in several lexical patterns (:func:`contexts`); patterns and the values they meet form a graph that
     :func:`score_patterns` scores iteratively; words with a digit behind a
     high-confidence pattern are added as spans of kind 'id', unless they
     overlap a base span. One pass reads the texts; graph and joins hold only
@@ -180,7 +232,8 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def _with_found(scan: DataFrame) -> DataFrame:
-    cands = scan.select("uid", F.explode("candidates").alias("c")).select("uid", "c.*")
+    cands = (scan.select("uid", F.explode("candidates").alias("c"))
+             .select("uid", "c.value", "c.start", "c.end", "c.seed", F.explode("c.contexts").alias("context")))
     passed = score_patterns(cands.select("context", "value", "seed"))
     extra = (cands.filter(~F.col("seed")).join(passed, "context", "left_semi").groupBy("uid")
              .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("s")))

@@ -383,6 +383,60 @@ def test_pii_base_spans():
     assert pii.mask("see a@b.co now", [("email", 4, 10)]) == "see [EMAIL] now"
 
 
+def _card(k):
+    digits = f"4{k:014d}"
+    return next(digits + str(d) for d in range(10) if pii.luhn(digits + str(d)))
+
+
+def test_pii_patterns_of_several_kinds(spark):
+    assert pii.shape("QX-77812-b é1") == "a-d5-a ad1"
+    assert pii.contexts("x\nCard: 4111 then", 8, 12) == ["x card", "card <d4>", "<d4> then", "^card:"]
+    assert pii.contexts("7" * 50 + "w" * 300 + " " * 300 + "to 12345", 653, 658) == ["to <d5>"]
+    numbers = [_card(1000 + 37 * k) for k in range(12)]
+    wrong = [n[:-1] + str((int(n[-1]) + 1) % 10) for n in numbers]
+    texts = [f"w{k}x\nCard: {numbers[k]} q{k}z" for k in range(4)] + [f"w\nCard: {wrong[0]} end"]     # label at a line's start
+    texts += [f"a{k}b paid {numbers[4 + k]} c{k}d" for k in range(4)] + [f"she paid {wrong[1]}", "she paid AB-1234"]   # word and shape
+    texts += [f"e{k}f {numbers[8 + k]} expires" for k in range(4)] + [f"{wrong[2]} expires"]             # shape and the word behind
+    texts += [f"nothing about {wrong[3]} here"]
+    rows = {r["doc_id"]: r for r in pii.find_pii(frame(spark, texts)).collect()}
+    got = {i: [texts[i][x["start"]:x["end"]] for x in r["found"]] for i, r in rows.items() if r["found"]}
+    assert got == {4: [wrong[0]], 9: [wrong[1]], 15: [wrong[2]]}
+
+
+def hash_of(value):
+    return zlib.crc32(value.encode())
+
+
+def test_pii_pattern_scores_against_brute_force(spark):
+    import random
+    rng = random.Random(11)
+    edges = []
+    for c in range(12):
+        own = [f"v{c}-{k}" for k in range(9)] + [f"shared{rng.randrange(8)}" for _ in range(2)]
+        edges += [(f"c{c}", v, (hash_of(v) % 12) < c) for v in own for _ in range(2)]
+    conf = defaultdict(float)
+    for c, v, seed in edges:
+        conf[c, v] = max(conf[c, v], float(seed))
+    first = dict(conf)
+
+    def groups():
+        out = defaultdict(list)
+        for (c, _), x in conf.items():
+            out[c].append(x)
+        return out
+    for _ in range(pii.ROUNDS):
+        strong = {c: sum(x) / (len(x) + 1) for c, x in groups().items()
+                  if sum(y >= pii.MIN_CONFIDENCE for y in x) >= pii.MIN_SUPPORT and sum(x) / (len(x) + 1) >= pii.MIN_CONFIDENCE / 2}
+        via = defaultdict(float)
+        for c, v in conf:
+            via[v] = max(via[v], strong.get(c, 0.0))
+        conf = {(c, v): max(x, via[v]) for (c, v), x in first.items()}
+    want = {c for c, x in groups().items() if sum(y >= pii.MIN_CONFIDENCE for y in x) >= pii.MIN_SUPPORT
+            and sum(x) / len(x) >= pii.MIN_CONFIDENCE}
+    got = {r["context"] for r in pii.score_patterns(spark.createDataFrame(edges, "context string, value string, seed boolean")).collect()}
+    assert got == want and 0 < len(want) < 12
+
+
 def test_pii_bootstraps_unseen_identifiers(spark):
     texts = [f"Please reach me write to user{i}@mail.example.com today." for i in range(8)]
     texts += ["Please write to QX-77812-B at once.", "The number of 12345 things.", *ODD]
