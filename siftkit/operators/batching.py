@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 Stage = Callable[[DataFrame, str], DataFrame]
 
 
-def global_positions(df: DataFrame, order_col: str, stage: Stage) -> DataFrame:
-    """Adds ``position`` (0-based rank in ``order_col`` order; ``order_col`` values must be unique)."""
+def global_positions(df: DataFrame, order_cols: str | list[str], stage: Stage) -> DataFrame:
+    """Adds ``position`` (0-based rank in the order of ``order_cols``, nulls first; their values must be unique together)."""
     numbered = stage(
-        df.orderBy(order_col)
+        df.orderBy(order_cols)
         .withColumn("__pid", F.spark_partition_id())
         .withColumn("__mid", F.monotonically_increasing_id()),
         "positions",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..config import MISSING_CATEGORY, PATH_SEPARATOR, FactsConfig
 from ..functions.channels import date_between
 from ..functions.paths import split_path
+from ..operators.batching import Stage, global_positions
 from ..operators.hierarchy import NODE_ATTRS, deepest, level_chain, unpivot_levels, walk_paths
 from ..operators.topk import best_per_group
 
@@ -61,7 +62,7 @@ def deepest_known_code(exploded: DataFrame, category: DataFrame, cfg: FactsConfi
 
 
 def map_search_categories(views: DataFrame, category: DataFrame, paths: DataFrame,
-                          cfg: FactsConfig = FactsConfig(), sort_output: bool = False) -> DataFrame:
+                          cfg: FactsConfig = FactsConfig()) -> DataFrame:
     """Path string -> deepest known category -> level 1-3 names (nulled below the match)."""
     chosen = deepest_known_code(exploded_paths(views, cfg), category, cfg)
     levels = unpivot_levels(paths, cfg.levels, NAME_COLS).withColumnsRenamed(
@@ -83,4 +84,13 @@ def map_search_categories(views: DataFrame, category: DataFrame, paths: DataFram
         lvl.alias("matched_level"),
         F.col("category_code").alias("matched_category_code"),
     ).distinct()
-    return out.orderBy(PATH_COL) if sort_output else out
+    return out
+
+
+def mapping_in_order(mapping: DataFrame, stage: Stage) -> DataFrame:
+    """O1: the mapping in total order, with each row's 0-based ``position``.
+
+    Rows are ordered by path string, those with one string by the other columns, nulls first. A
+    range-partitioned sort, its partitions numbered by their row counts; no task holds all rows.
+    """
+    return global_positions(mapping, [PATH_COL, *[c for c in mapping.columns if c != PATH_COL]], stage)

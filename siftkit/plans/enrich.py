@@ -1,13 +1,18 @@
 """J8 category enrichment of keywords that lack a category.
 
-The caller supplies ``predict_fn(pdf) -> pdf``: given a pandas frame with
-``search_internal_keyword`` it returns, per row and in order,
-``response`` (raw JSON text or None), ``error_type`` (None or one of
-TIMEOUT, CONNECTION_ERROR, HTTP_ERROR, ERROR) and ``error_message``. It owns
-the transport (HTTP session, retries, timeouts). Spark runs it once per
-term in parallel tasks (``mapInPandas``); everything else - choosing
-pending terms, batching, parsing, classifying, writing, resuming and the
-statistics - is DataFrame work.
+Answers come from one of two places, given as ``answers``:
+
+- a DataFrame of stored answers (``search_internal_keyword``, ``response``,
+  ``error_type``, ``error_message``), joined to the terms;
+- a function ``predict_fn(pdf) -> pdf`` of the caller's: given a pandas frame
+  with ``search_internal_keyword`` it returns, per row and in order,
+  ``response`` (raw JSON text or None), ``error_type`` (None or one of
+  TIMEOUT, CONNECTION_ERROR, HTTP_ERROR, ERROR) and ``error_message``. It
+  owns the transport (HTTP session, retries, timeouts). Spark runs it in
+  parallel tasks (``mapInPandas``).
+
+Everything else - choosing pending terms, batching, parsing, classifying,
+writing, resuming and the statistics - is DataFrame work.
 """
 
 from __future__ import annotations
@@ -23,8 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
-from ..config import JSON_MESSAGE, SKIP_MESSAGE, EnrichConfig
-from ..functions.paths import is_missing
+from ..config import CONNECTION_MESSAGE, JSON_MESSAGE, SKIP_MESSAGE, EnrichConfig
+from ..functions.paths import is_missing, null_or_empty
 from ..operators.batching import Stage, assign_batches
 from ..operators.membership import in_either
 from ..sources.tables import materialize, read_partitions, write_partitions
@@ -55,6 +60,7 @@ RESULT_FIELDS = [
 RESULT_SCHEMA = StructType(RESULT_FIELDS + [StructField("batch_id", LongType())])
 
 Predictor = Callable[[pd.DataFrame], pd.DataFrame]
+Answers = DataFrame | Predictor
 
 
 def pending_terms(views: DataFrame, status_v1: DataFrame, status_v2: DataFrame,
@@ -114,6 +120,27 @@ def run_predictor(batched: DataFrame, predict_fn: Predictor, partitions: int | N
     return rows.mapInPandas(apply, RAW_SCHEMA)
 
 
+def stored_answers(batched: DataFrame, answers: DataFrame) -> DataFrame:
+    """E3/E5 from a table of answers: one join on the term, so its tasks follow the size of the data.
+
+    Null and empty terms are skipped (X24), whatever the table holds for them, and their key is null, so they
+    meet no row and are no hot key. A term without an answer was never reached: CONNECTION_ERROR. Of
+    several answers to a term the smallest counts.
+    """
+    fields = ("response", "error_type", "error_message")
+    known = (answers.where(~null_or_empty(F.col(KW))).groupBy(F.col(KW).alias("__term"))
+             .agg(F.min(F.struct(*fields)).alias("__answer")))
+    rows = batched.select(KW, F.col("batch_id").cast("long").alias("batch_id"))
+    skip = null_or_empty(F.col(KW))
+    met = rows.join(known, F.when(~skip, F.col(KW)) == F.col("__term"), "left")
+    lost = F.col("__answer").isNull()
+    return met.select(
+        KW, "batch_id", F.when(~skip, F.col("__answer.response")).alias("response"),
+        F.when(skip, "SKIP").when(lost, "CONNECTION_ERROR").otherwise(F.col("__answer.error_type")).alias("error_type"),
+        F.when(skip, SKIP_MESSAGE).when(lost, CONNECTION_MESSAGE).otherwise(F.col("__answer.error_message"))
+         .alias("error_message"))
+
+
 def parse_predictions(raw: DataFrame) -> DataFrame:
     """Classify each call and flatten the first category of a valid response.
 
@@ -122,7 +149,7 @@ def parse_predictions(raw: DataFrame) -> DataFrame:
     """
     v = F.try_parse_json(F.col("response"))
     err_type = F.coalesce(F.col("error_type"), F.when(v.isNull(), F.lit("JSON_ERROR")))
-    err_msg = F.coalesce(F.col("error_message"), F.when(v.isNull(), F.lit(JSON_MESSAGE)))
+    err_msg = F.coalesce(F.col("error_message"), F.when(F.col("error_type").isNull(), F.lit(JSON_MESSAGE)))
     ok = F.col("error_type").isNull() & v.isNotNull()
 
     def get(path: str, dtype: str):
@@ -146,9 +173,11 @@ def parse_predictions(raw: DataFrame) -> DataFrame:
     )
 
 
-def enrich_terms(batched: DataFrame, predict_fn: Predictor, partitions: int | None = None) -> DataFrame:
-    """J8 core: predict and parse (lazy; nothing is written)."""
-    return parse_predictions(run_predictor(batched, predict_fn, partitions))
+def enrich_terms(batched: DataFrame, answers: Answers, partitions: int | None = None) -> DataFrame:
+    """J8 core: answer and parse (lazy; nothing is written). ``partitions`` spreads the calls of a predictor."""
+    if isinstance(answers, DataFrame):
+        return parse_predictions(stored_answers(batched, answers))
+    return parse_predictions(run_predictor(batched, answers, partitions))
 
 
 def batch_summary(results: DataFrame, success_code: int = 200) -> DataFrame:
@@ -182,9 +211,10 @@ def enrichment_summary(results: DataFrame, total_terms, success_code: int = 200)
 
 @dataclass
 class RunStats:
-    batches_written: list = field(default_factory=list)
+    jobs: int = 0
+    batches_written: list = field(default_factory=list)   # only where the caller bounds the batches of a job
     seconds: float = 0.0
-    terms: int | None = None
+    terms: int = 0
 
     def timing(self) -> dict:
         h, rem = divmod(self.seconds, 3600)
@@ -203,18 +233,21 @@ def finished_terms(spark: SparkSession, out_dir: str) -> DataFrame | None:
         return None
 
 
-def run_enrichment(batched: DataFrame, predict_fn: Predictor, out_dir: str, fresh: bool = True,
-                   batches_per_job: int = 1, max_jobs: int | None = None,
+def run_enrichment(batched: DataFrame, answers: Answers, out_dir: str, fresh: bool = True,
+                   batches_per_job: int | None = None, max_jobs: int | None = None,
                    partitions: int | None = None, csv_checkpoint_dir: str | None = None) -> RunStats:
-    """Predict batch by batch into ``out_dir`` partitioned by ``batch_id``.
-
-    A fresh run truncates the output with its first batch; every other
-    batch is appended, so earlier rows stay whatever number new terms give
-    a batch. A resumed run (``fresh=False``) takes the set of finished terms
-    once, as a stored snapshot, and skips them. Each job commits its batches;
-    ``max_jobs`` stops early (as an interrupted run would). With ``csv_checkpoint_dir``
-    each written batch is also copied, from the written table, to a header
-    CSV partition (S6); the predictor is not called again for it.
+    """Answer the batches into ``out_dir``, partitioned by ``batch_id``.
+
+    All unfinished batches are written by one job; with ``batches_per_job`` by jobs
+    over so many batch numbers each, so that an interrupted run keeps what its finished jobs
+    wrote (``max_jobs`` stops early, as an interruption would). A fresh run truncates
+    the output with its first job; every other job appends, so earlier rows
+    stay whatever number new terms give a batch. A resumed run
+    (``fresh=False``) takes the set of finished terms once, as a stored snapshot,
+    and skips them. The driver sees the first and last number and the count of the
+    terms, and for each job with ``batches_per_job`` the numbers written. With
+    ``csv_checkpoint_dir`` the rows of each job are also copied, from the written
+    table, to header CSV partitions (S6); no answer is asked for again.
     """
     spark = batched.sparkSession
     start = time.time()
@@ -224,22 +257,25 @@ def run_enrichment(batched: DataFrame, predict_fn: Predictor, out_dir: str, fres
         done = materialize(done.distinct(), "enrich-done")   # later writes do not change it
         todo = batched.join(done, KW, "left_anti")
     todo = materialize(todo, "enrich-todo")
-    sizes = {r["batch_id"]: r["count"] for r in todo.groupBy("batch_id").count().collect()}  # a row per batch
-    ids = sorted(sizes)
-    groups = [ids[i:i + batches_per_job] for i in range(0, len(ids), batches_per_job)]
-    stats = RunStats(terms=0)
-    for j, group in enumerate(groups):
-        if max_jobs is not None and j >= max_jobs:
+    first, last, n = todo.agg(F.min("batch_id"), F.max("batch_id"), F.count(F.lit(1))).first()
+    step = batches_per_job or (last - first + 1 if n else 1)
+    stats = RunStats()
+    for at in range(first, last + 1, step) if n else ():
+        if max_jobs is not None and stats.jobs >= max_jobs:
             break
-        terms = todo.where(F.col("batch_id").isin(group))
-        part = enrich_terms(terms, predict_fn, partitions)
-        write_partitions(part, out_dir, "batch_id", replace_all=fresh and j == 0)
+        terms = todo.where(F.col("batch_id").between(at, at + step - 1))
+        replace_all = fresh and stats.jobs == 0
+        write_partitions(enrich_terms(terms, answers, partitions), out_dir, "batch_id", replace_all=replace_all)
         if csv_checkpoint_dir:
-            written = read_results(spark, out_dir).where(F.col("batch_id").isin(group)).join(
+            written = read_results(spark, out_dir).where(F.col("batch_id").between(at, at + step - 1)).join(
                 terms.select(KW), KW, "left_semi")
-            write_partitions(written, csv_checkpoint_dir, "batch_id", replace_all=fresh and j == 0, fmt="csv")
-        stats.batches_written.extend(group)
-        stats.terms += sum(sizes[g] for g in group)
+            write_partitions(written, csv_checkpoint_dir, "batch_id", replace_all=replace_all, fmt="csv")
+        stats.jobs += 1
+        if batches_per_job:
+            stats.batches_written += sorted(r["batch_id"] for r in terms.select("batch_id").distinct().collect())
+            stats.terms += terms.count()
+        else:
+            stats.terms = n
     stats.seconds = time.time() - start
     return stats
 

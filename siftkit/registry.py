@@ -87,6 +87,15 @@ def screened_sessions_null_set_q(c: Context) -> DataFrame:
     return null_aware_anti_join(rows, excluded, F.col("session_id"), F.col("session_id"))
 
 
+def screened_sessions_empty_set_q(c: Context) -> DataFrame:
+    """Nothing is excluded, so every row stays, those with a null session too."""
+    fx = c.fx
+    from .operators.membership import null_aware_anti_join
+    rows = fx["fx_view"].select("search_id", "session_id", "search_internal_keyword", "datetime")
+    excluded = fx["fx_members_with_null"].where(F.col("client_status") == "")
+    return null_aware_anti_join(rows, excluded, F.col("session_id"), F.col("session_id"))
+
+
 def stopword_screen_q(c: Context) -> DataFrame:
     fx = c.fx
     from .operators.membership import null_aware_anti_join
@@ -118,6 +127,7 @@ QUERIES: dict[str, Callable[[Context], DataFrame]] = {
     "search_clicks": search_clicks_q,
     "screened_sessions": screened_sessions_q,
     "screened_sessions_null_set": screened_sessions_null_set_q,
+    "screened_sessions_empty_set": screened_sessions_empty_set_q,
     "stopword_screen": stopword_screen_q,
     "sku_lists": sku_lists_q,
     "kv_pivot": kv_pivot_q,
@@ -151,6 +161,10 @@ def category_mapping_q(c: Context) -> DataFrame:
     return _catalog.map_search_categories(c.views(), c.fx["fx_category"], c.paths(), FACTS_CFG)
 
 
+def mapping_in_order_q(c: Context) -> DataFrame:
+    return _catalog.mapping_in_order(category_mapping_q(c), materialize)
+
+
 def path_explode_q(c: Context) -> DataFrame:
     return _catalog.exploded_paths(c.views(), FACTS_CFG)
 
@@ -191,6 +205,7 @@ QUERIES.update({
     "category_paths_any_depth": category_paths_any_depth_q,
     "counted_frame": counted_frame_q,
     "category_mapping": category_mapping_q,
+    "mapping_in_order": mapping_in_order_q,
     "path_explode": path_explode_q,
     "deepest_category": deepest_category_q,
     "keyword_facts": keyword_facts_q,
@@ -272,6 +287,15 @@ def fuzzy_match_reference_norm_q(c: Context) -> DataFrame:
     return d.select("value", F.length("value").cast("long").alias("len"), first_char(F.col("value")).alias("fc"))
 
 
+def fuzzy_match_norm_str_q(c: Context) -> DataFrame:
+    """The dictionaries under the keywords' own normaliser, and how many keywords equal a value of theirs then."""
+    fx = c.fx
+    d = _intent.tagged_dictionary(fx["fx_brand"], fx["fx_attributes"], fx["fx_seller"], normalizer="norm_str")
+    typed = _intent.base_keywords(fx["fx_keywords"]).groupBy(F.col("normalized_keyword").alias("value")).agg(
+        F.count(F.lit(1)).alias("keywords"))
+    return d.join(typed, "value", "left").select("dictionary", "value", F.coalesce("keywords", F.lit(0)).alias("keywords"))
+
+
 def keyword_intent_fuzzy_q(c: Context) -> DataFrame:
     fx = c.fx
     return _intent.keyword_intent_fuzzy(c.exact(), fx["fx_ner"], fx["fx_brand"], fx["fx_attributes"], fx["fx_seller"],
@@ -289,6 +313,7 @@ QUERIES.update({
     "fuzzy_seller_match": _fuzzy_dict_q("seller", "is_seller_exact", "matched_seller"),
     "fuzzy_ner_match": fuzzy_ner_match_q,
     "fuzzy_match_reference_norm": fuzzy_match_reference_norm_q,
+    "fuzzy_match_norm_str": fuzzy_match_norm_str_q,
     "keyword_intent_fuzzy": keyword_intent_fuzzy_q,
 })
 
@@ -296,7 +321,12 @@ QUERIES.update({
 # ---------------------------------------------------------------- J8
 from .plans import enrich as _enrich  # noqa: E402
 from .session import ensure_checkpoint_dir  # noqa: E402
-from .sources.fixtures import ENRICH_CFG, fixture_predictor  # noqa: E402
+from .sources.fixtures import ENRICH_CFG  # noqa: E402
+
+
+def _fresh(c: Context, name: str) -> str:
+    import uuid
+    return f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def _pending(c: Context) -> DataFrame:
@@ -311,27 +341,53 @@ def term_batches_q(c: Context) -> DataFrame:
     return _enrich.term_batches(_pending(c), _stage, ENRICH_CFG)
 
 
+def _batched(c: Context) -> DataFrame:
+    return _enrich.term_batches(_pending(c), _stage, ENRICH_CFG)
+
+
 def enrich_terms_q(c: Context) -> DataFrame:
-    return _enrich.enrich_terms(_enrich.term_batches(_pending(c), _stage, ENRICH_CFG), fixture_predictor, 4)
+    return _enrich.enrich_terms(_batched(c), c.fx["fx_responses"])
 
 
 def parse_predictions_q(c: Context) -> DataFrame:
-    return enrich_terms_q(c).drop("batch_id")
+    """E4/X22/X23 over every stored answer, asked for or not."""
+    return _enrich.parse_predictions(c.fx["fx_responses"].withColumn("batch_id", F.lit(None).cast("long"))).drop("batch_id")
+
+
+def prediction_outcomes_q(c: Context) -> DataFrame:
+    """The outcome of every keyword and category string that was searched, null and empty ones included."""
+    v = c.fx["fx_view"]
+    terms = v.select(_enrich.KW).unionByName(v.select(F.col("search_internal_category_id").alias(_enrich.KW))).distinct()
+    raw = _enrich.stored_answers(terms.withColumn("batch_id", F.lit(0)), c.fx["fx_responses"])
+    return _enrich.parse_predictions(raw).select(_enrich.KW, "code", "status")
 
 
 def enrichment_summary_q(c: Context) -> DataFrame:
-    batched = _enrich.term_batches(_pending(c), _stage, ENRICH_CFG)
-    results = _enrich.enrich_terms(batched, fixture_predictor, 4)
+    batched = _stage(_batched(c), "term_batches")
+    results = _enrich.enrich_terms(batched, c.fx["fx_responses"])
     total = batched.select(F.count(F.lit(1))).scalar()
     return _enrich.enrichment_summary(results, total, ENRICH_CFG.success_code)
 
 
+def run_statistics_q(c: Context) -> DataFrame:
+    """A written run's statistics: counts of each batch and in all, terms, jobs, and whether it was timed."""
+    batched = _stage(_batched(c), "term_batches")
+    out_dir = _fresh(c, "enrichment")
+    stats = _enrich.run_enrichment(batched, c.fx["fx_responses"], out_dir)
+    t = stats.timing()
+    timed = bool(t["records_per_sec"]) and abs(t["hours"] * 3600 + t["minutes"] * 60 + t["seconds"] - stats.seconds) < 0.01
+    summary = _enrich.enrichment_summary(_enrich.read_results(c.spark, out_dir), stats.terms, ENRICH_CFG.success_code)
+    return summary.withColumns({"terms": F.lit(stats.terms).cast("long"), "jobs": F.lit(stats.jobs).cast("long"),
+                                "timed": F.lit(timed)})
+
+
 def batch_resume_q(c: Context) -> DataFrame:
-    import uuid
-    batched = _stage(_enrich.term_batches(_pending(c), _stage, ENRICH_CFG), "term_batches")
-    out_dir = f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/enrichment-{uuid.uuid4().hex}"
-    _enrich.run_enrichment(batched, fixture_predictor, out_dir, fresh=True, max_jobs=2)   # interrupted run
-    _enrich.run_enrichment(batched, fixture_predictor, out_dir, fresh=False)              # resume
+    """A run is interrupted after two batches and resumed when the service answers otherwise: finished rows stay."""
+    batched = _stage(_batched(c), "term_batches")
+    answers, out_dir = c.fx["fx_responses"], _fresh(c, "enrichment")
+    early = answers.withColumn("response", F.replace("response", F.lit('"OK"'), F.lit('"EARLY"')))
+    _enrich.run_enrichment(batched, early, out_dir, fresh=True, batches_per_job=1, max_jobs=2)
+    _enrich.run_enrichment(batched, answers, out_dir, fresh=False)
     return _enrich.read_results(c.spark, out_dir)
 
 
@@ -342,6 +398,8 @@ QUERIES.update({
     "parse_predictions": parse_predictions_q,
     "enrichment_summary": enrichment_summary_q,
     "batch_resume": batch_resume_q,
+    "prediction_outcomes": prediction_outcomes_q,
+    "run_statistics": run_statistics_q,
 })
 
 
@@ -351,11 +409,6 @@ from .sources.fixtures import REPLACED_BEFORE, csv_terms_sql, nfkc_terms_sql  #
 from .sources.tables import write_colocated  # noqa: E402
 
 
-def _fresh(c: Context, name: str) -> str:
-    import uuid
-    return f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def table_replace_append_q(c: Context) -> DataFrame:
     """Job output created, replaced and appended by date; a second append of the same dates is refused."""
     rows = c.views().select(F.to_date("datetime").alias("day"), "search_id", "session_id", _facts.KW)

@@ -55,6 +55,7 @@ _S = "CAST(NULL AS STRING)"
 _KEYWORD = "p_name || ' ' || CAST(p_partkey AS STRING)"
 # parts are dealt over all suppliers (keys 0 to count - 1)
 _SUPPLIER_OF_PART = "p_partkey % (SELECT count(*) FROM {supplier})"
+_SUPPLIER_OF_PART_TEXT = f"CAST({_SUPPLIER_OF_PART} AS STRING)"
 
 
 def _base(d: str) -> str:
@@ -311,6 +312,39 @@ def _status(d: str, version: int) -> str:
     return f"SELECT kw AS search_internal_keyword, {status} AS status FROM ({terms}) t"
 
 
+def _responses(d: str) -> str:
+    """What the category service answered for each part's keyword; keywords of every eleventh part were never answered."""
+    def body(text: str) -> str:      # a JSON literal, its braces doubled for the table names' formatting
+        return "'" + text.replace("{", "{{").replace("}", "}}") + "'"
+
+    head = '{"code": 200, "status": "OK"'
+    size, group = "CAST(CAST(p_size AS INT) AS STRING)", "CAST(p_partkey % 25 AS STRING)"
+    first = " || ".join([
+        body(head + ', "data": {"isGenericTerm": false, "isValidC3": true, "categoryHierarchyList": [{"score": '), size,
+        body('.5, "c1CategoryCode": "C1-'), "CAST(p_partkey % 5 AS STRING)", body('", "c2CategoryCode": "C2-'), group,
+        body('", "c3CategoryCode": "C3-'), _SUPPLIER_OF_PART_TEXT, body('", "c3_name": "'), "lower(kw)",
+        body('", "c3_category": "C1-'), "CAST(p_partkey % 5 AS STRING)", body("/C2-"), group, body("/C3-"),
+        _SUPPLIER_OF_PART_TEXT, body('"}')])
+    second = "CASE WHEN p_partkey % 2 = 0 THEN " + body(', {"score": 0.25, "c1CategoryCode": "C1-second"}') + " ELSE '' END"
+    return f"""
+SELECT kw AS search_internal_keyword,
+  CASE p_partkey % 7
+    WHEN 0 THEN {first} || {second} || {body("]}}")}
+    WHEN 1 THEN {body(head + "}")}
+    WHEN 2 THEN {body(head + ', "data": {"isGenericTerm": true, "isValidC3": false, "categoryHierarchyList": []}}')}
+    WHEN 3 THEN {body('{"code": 404, "status": "NOT_FOUND", "data": null}')}
+    WHEN 4 THEN {body('{"code": 200, "status": ')}
+    ELSE {_S} END AS response,
+  CASE p_partkey % 7 WHEN 5 THEN CASE WHEN p_partkey % 2 = 0 THEN 'TIMEOUT' ELSE 'HTTP_ERROR' END
+    WHEN 6 THEN CASE WHEN p_partkey % 4 = 0 THEN {_S} ELSE 'ERROR' END ELSE {_S} END AS error_type,
+  CASE p_partkey % 7 WHEN 5 THEN CASE WHEN p_partkey % 2 = 0 THEN 'Request timed out after 30s'
+      ELSE '503 Server Error: Service Unavailable' END
+    WHEN 6 THEN CASE WHEN p_partkey % 4 = 1 THEN 'unexpected end of stream' ELSE {_S} END ELSE {_S} END AS error_message
+FROM (SELECT {_KEYWORD} AS kw, p_partkey, p_size FROM {{part}} WHERE p_partkey % 11 <> 10
+      UNION SELECT upper({_KEYWORD}), p_partkey, p_size FROM {{part}} WHERE p_partkey % 11 <> 10) t
+"""
+
+
 # name -> (adapter dependencies, SQL builder)
 FIXTURES = {
     "fx_base": (("events", "lineitem", "part", "supplier", "nation"), _base),
@@ -329,6 +363,7 @@ FIXTURES = {
     "fx_seller": (("supplier",), _seller),
     "fx_status_v1": (("part",), lambda d: _status(d, 1)),
     "fx_status_v2": (("part",), lambda d: _status(d, 2)),
+    "fx_responses": (("part", "supplier"), _responses),
 }
 
 
@@ -416,42 +451,3 @@ class Fixtures:
             from .tables import materialize
             df = materialize(df, f"{name}-{uuid.uuid4().hex[:8]}")
         return df
-
-
-def fixture_predictor(pdf):
-    """Deterministic stand-in for the category prediction service (a pure function of the term).
-
-    By ``len(term) % 6``: 0 a category (two when ``% 12 == 0``), 1 no data,
-    2 an empty category list, 3 a timeout, 4 a truncated JSON body, 5 an
-    HTTP error.
-    """
-    import json
-
-    import pandas as pd
-
-    rows = []
-    for term in pdf["search_internal_keyword"]:
-        n = len(term)
-        kind = n % 6
-        resp = err = msg = None
-        if kind == 0:
-            def cat(k):
-                return {"score": k / 10, "c1CategoryCode": f"C1-{k % 5}", "c2CategoryCode": f"C2-{k % 25}",
-                        "c3CategoryCode": f"C3-{k % 10}", "c3_name": term.lower(),
-                        "c3_category": f"C1-{k % 5}/C2-{k % 25}/C3-{k % 10}"}
-            cats = [cat(n)] + ([cat(n + 1)] if n % 12 == 0 else [])
-            resp = json.dumps({"code": 200, "status": "OK", "data": {
-                "isGenericTerm": False, "isValidC3": True, "categoryHierarchyList": cats}})
-        elif kind == 1:
-            resp = json.dumps({"code": 200, "status": "OK"})
-        elif kind == 2:
-            resp = json.dumps({"code": 200, "status": "OK", "data": {
-                "isGenericTerm": True, "isValidC3": False, "categoryHierarchyList": []}})
-        elif kind == 3:
-            err, msg = "TIMEOUT", "Request timed out after 30s"
-        elif kind == 4:
-            resp = '{"code": 200, "status": '
-        else:
-            err, msg = "HTTP_ERROR", "503 Server Error: Service Unavailable"
-        rows.append((resp, err, msg))
-    return pd.DataFrame(rows, columns=["response", "error_type", "error_message"])

@@ -124,6 +124,7 @@ ORACLE["screened_sessions"] = _with(["fx_view", "fx_sessions", "fx_members"]) +
     f"{_SCREENED}{_KNOWN_SESSION} AND {_ALLOWED_SESSION}"
 ORACLE["screened_sessions_null_set"] = _with(["fx_view", "fx_members_with_null"]) + \
     _SCREENED + _not_in("r.session_id", "fx_members_with_null", "m.session_id", _EXCLUDED)
+ORACLE["screened_sessions_empty_set"] = _with(["fx_view"]) + f"SELECT search_id, session_id, {KW}, datetime FROM fx_view"
 ORACLE["stopword_screen"] = _with(["fx_view", "fx_stopwords"]) + _SCREENED + _NO_STOPWORD
 ORACLE["sku_lists"] = _with(["fx_view"]) + f"""
 SELECT * FROM (SELECT {GROUP}, {_skus('flatten(list(product_list))')} AS skus FROM fx_view WHERE {_in_scope()} GROUP BY ALL)
@@ -195,6 +196,11 @@ ORACLE["category_mapping"] = _MAPPED + f"""
 SELECT DISTINCT {_PATH}, {_NAMES3}, d.category_level AS matched_level, d.category_code AS matched_category_code
 FROM deepest d LEFT JOIN places p ON p.level = d.category_level AND p.code = d.category_code
 """
+_ORDER = ", ".join(f"{c} NULLS FIRST" for c in (
+    _PATH, *[f"c{n}_{a}" for a in ("name", "name_english") for n in (1, 2, 3)], "matched_level", "matched_category_code"))
+ORACLE["mapping_in_order"] = f"""
+SELECT *, row_number() OVER (ORDER BY {_ORDER}) - 1 AS position FROM ({ORACLE["category_mapping"]})
+"""
 ORACLE["path_explode"] = _MAPPED + "SELECT * FROM mentioned"
 ORACLE["deepest_category"] = _MAPPED + "SELECT * FROM deepest"
 
@@ -348,6 +354,10 @@ SELECT kw AS {KW}, kind AS attribute_name, value AS matched_ner_value FROM near
 ORACLE["fuzzy_match_reference_norm"] = _with(["fx_brand"]) + f"""
 SELECT value, length(value) AS len, left(value, 1) AS fc FROM (SELECT {norm_dict('raw')} AS value FROM ({_BRANDS}))
 """
+ORACLE["fuzzy_match_norm_str"] = _with(_INTENT_FX) + f"""
+SELECT kind AS dictionary, value, (SELECT count(DISTINCT {KW}) FROM fx_keywords k WHERE {norm_str(KW)} = value) AS keywords
+FROM (SELECT DISTINCT kind, {norm_str('raw')} AS value FROM ({_BRANDS} UNION {_TYPES} UNION {_SELLERS}))
+"""
 ORACLE["keyword_intent_fuzzy"] = _FUZZY + f"""
 SELECT kw AS {KW}, norm AS normalized_keyword,
   {", ".join(f"is_{kind}_exact OR m_{side} IS NOT NULL AS is_{kind}_fuzzy{side.removeprefix(kind)}, m_{side} AS matched_{side}"
@@ -367,9 +377,37 @@ _B = ENRICH_CFG.batch_size
 _MISSING = f"coalesce(list_contains({_list(MISSING_VALUE_SENTINELS)}, lower(v.ds_category_ids)), TRUE)"
 
 
+# answers of the service, read with the JSON functions
+_FIRST = "$.data.categoryHierarchyList[0]"
+_ANSWER = {"code": ("$.code", "INTEGER"), "status": ("$.status", "VARCHAR"),
+           "isGenericTerm": ("$.data.isGenericTerm", "BOOLEAN"), "isValidC3": ("$.data.isValidC3", "BOOLEAN"),
+           "score": (f"{_FIRST}.score", "DOUBLE"),
+           **{k: (f"{_FIRST}.{k}", "VARCHAR") for k in
+              ("c1CategoryCode", "c2CategoryCode", "c3CategoryCode", "c3_name", "c3_category")}}
+
+
+def _answered(source: str, reached: str = "TRUE") -> str:
+    """The answers of ``source`` flattened; ``fault`` is what stands in for the status of a failed call."""
+    cols = ", ".join(f"CAST(json_extract_string(body, '{path}') AS {kind}) AS {name}" if name != "status" else
+                     f"coalesce(fault, json_extract_string(body, '{path}')) AS status"
+                     for name, (path, kind) in _ANSWER.items())
+    return f"""
+  SELECT * EXCLUDE (body, fault), {cols}
+  FROM (SELECT * EXCLUDE (response, error_type, error_message),
+          CASE WHEN error_type IS NULL AND json_valid(response) AND coalesce({KW}, '') <> '' THEN response END AS body,
+          CASE WHEN coalesce({KW}, '') = '' THEN 'SKIP: Empty or null search term'
+               WHEN NOT {reached} THEN 'CONNECTION_ERROR: Failed to connect to API'
+               WHEN error_type <> '' THEN error_type || ': ' || coalesce(error_message, '')
+               WHEN NOT coalesce(json_valid(response), FALSE)
+               THEN 'JSON_ERROR: ' || coalesce(error_message, 'Invalid JSON response') END AS fault
+        FROM ({source}))"""
+
+
+_KNOWN_ANSWERS = f"(SELECT *, TRUE AS known FROM fx_responses) r USING ({KW})"
+
+
 def _enrich_ctes() -> str:
-    n = f"LENGTH({KW})"
-    return _with([*_VIEW_FX, "fx_status_v1", "fx_status_v2"], VIEWS, ("pending", f"""
+    return _with([*_VIEW_FX, "fx_status_v1", "fx_status_v2", "fx_responses"], VIEWS, ("pending", f"""
   SELECT DISTINCT {KW} FROM views v
   WHERE {_MISSING} AND EXISTS (SELECT 1 FROM (FROM fx_status_v1 UNION ALL BY NAME FROM fx_status_v2) s
                                WHERE s.{KW} = v.{KW} AND lower(s.status) <> 'ok')""")).rstrip() + f""",
@@ -384,23 +422,9 @@ batches AS (
     LEAST((position // {_B} + 1) * {_B}, (SELECT COUNT(*) FROM terms)) AS batch_end
   FROM terms
 ),
-parsed AS (
-  SELECT search_internal_keyword,
-    CASE WHEN {n} % 6 IN (0, 1, 2) THEN 200 END AS code,
-    CASE {n} % 6 WHEN 3 THEN 'TIMEOUT: Request timed out after 30s'
-      WHEN 4 THEN 'JSON_ERROR: Invalid JSON response'
-      WHEN 5 THEN 'HTTP_ERROR: 503 Server Error: Service Unavailable' ELSE 'OK' END AS status,
-    CASE {n} % 6 WHEN 0 THEN FALSE WHEN 2 THEN TRUE END AS isGenericTerm,
-    CASE {n} % 6 WHEN 0 THEN TRUE WHEN 2 THEN FALSE END AS isValidC3,
-    CASE WHEN {n} % 6 = 0 THEN {n} / 10.0 END AS score,
-    CASE WHEN {n} % 6 = 0 THEN 'C1-' || CAST({n} % 5 AS VARCHAR) END AS c1CategoryCode,
-    CASE WHEN {n} % 6 = 0 THEN 'C2-' || CAST({n} % 25 AS VARCHAR) END AS c2CategoryCode,
-    CASE WHEN {n} % 6 = 0 THEN 'C3-' || CAST({n} % 10 AS VARCHAR) END AS c3CategoryCode,
-    CASE WHEN {n} % 6 = 0 THEN LOWER(search_internal_keyword) END AS c3_name,
-    CASE WHEN {n} % 6 = 0 THEN 'C1-' || CAST({n} % 5 AS VARCHAR) || '/C2-' || CAST({n} % 25 AS VARCHAR)
-      || '/C3-' || CAST({n} % 10 AS VARCHAR) END AS c3_category,
-    batch_id
-  FROM batches
+parsed AS (SELECT * EXCLUDE (known) FROM ({_answered(
+    f"SELECT {KW}, batch_id, known, response, error_type, error_message FROM batches LEFT JOIN {_KNOWN_ANSWERS}",
+    "coalesce(known, FALSE)")})
 ),
 per_batch AS (
   SELECT batch_id, COUNT(*) AS records, COUNT(*) FILTER (WHERE code = 200) AS success,
@@ -412,7 +436,12 @@ per_batch AS (
 ORACLE["pending_terms"] = _enrich_ctes() + "\nSELECT * FROM pending"
 ORACLE["term_batches"] = _enrich_ctes() + "\nSELECT * FROM batches"
 ORACLE["enrich_terms"] = _enrich_ctes() + "\nSELECT * FROM parsed"
-ORACLE["parse_predictions"] = _enrich_ctes() + "\nSELECT * EXCLUDE (batch_id) FROM parsed"
+ORACLE["parse_predictions"] = _with(["fx_responses"]) + _answered("SELECT * FROM fx_responses")
+ORACLE["prediction_outcomes"] = _with(["fx_view", "fx_responses"]) + f"""
+SELECT {KW}, code, status FROM ({_answered(f'''
+  SELECT * FROM (SELECT {KW} FROM fx_view UNION SELECT search_internal_category_id FROM fx_view) LEFT JOIN {_KNOWN_ANSWERS}''',
+  "coalesce(known, FALSE)")})
+"""
 ORACLE["enrichment_summary"] = _enrich_ctes() + """,
 all_rows AS (
   SELECT * FROM per_batch
@@ -425,7 +454,12 @@ SELECT batch_id, records, success, failed,
   100.0 * failed / NULLIF((SELECT COUNT(*) FROM terms), 0) AS failed_pct
 FROM all_rows
 """
-ORACLE["batch_resume"] = ORACLE["enrich_terms"]
+ORACLE["run_statistics"] = (ORACLE["enrichment_summary"].rstrip() + " ").replace(
+    "\nSELECT batch_id, records", "\nSELECT (SELECT count(*) FROM terms) AS terms, 1 AS jobs, TRUE AS timed, batch_id, records")
+# what the interrupted run wrote keeps the answers of its time
+ORACLE["batch_resume"] = _enrich_ctes() + """
+SELECT * REPLACE (CASE WHEN batch_id <= 1 AND status = 'OK' THEN 'EARLY' ELSE status END AS status) FROM parsed
+"""
 
 
 # ---------------------------------------------------------------- tables: replace, append, ledger, CSV, buckets

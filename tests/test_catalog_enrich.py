@@ -95,9 +95,10 @@ def test_resume_writes_every_batch_once(spark):
     batched = stage(enrich.term_batches(terms, stage, enrich.EnrichConfig(batch_size=5)), "tb")
     out_dir = f"{ensure_checkpoint_dir(spark)}/test-enrich-{uuid.uuid4().hex}"
     csv_dir = out_dir + "-csv"
-    first = enrich.run_enrichment(batched, _predict, out_dir, fresh=True, max_jobs=2, csv_checkpoint_dir=csv_dir)
+    first = enrich.run_enrichment(batched, _predict, out_dir, fresh=True, batches_per_job=1, max_jobs=2,
+                                 csv_checkpoint_dir=csv_dir)
     assert first.batches_written == [0, 1]
-    second = enrich.run_enrichment(batched, _predict, out_dir, fresh=False, csv_checkpoint_dir=csv_dir)
+    second = enrich.run_enrichment(batched, _predict, out_dir, fresh=False, batches_per_job=1, csv_checkpoint_dir=csv_dir)
     assert second.batches_written == [2, 3, 4]
     again = enrich.run_enrichment(batched, _predict, out_dir, fresh=False)   # nothing left
     assert again.batches_written == []
@@ -137,3 +138,48 @@ def test_a_failing_term_does_not_spoil_its_batch():
     out = enrich._call_predictor(pd.DataFrame({"search_internal_keyword": terms, "batch_id": 0}), predict)
     assert out["response"].tolist() == ["A", None, "B", None, None, "C"]
     assert out["error_type"].tolist() == [None, "ERROR", None, "SKIP", "SKIP", None]
+
+
+def test_stored_answers_have_all_six_outcomes(spark):
+    kw = "search_internal_keyword"
+    ok = '{"code": 200, "status": "OK"}'
+    answers = spark.createDataFrame(
+        [("good", ok, None, None), ("good", '{"code": 500, "status": "later"}', None, None), ("cut", '{"code"', None, None),
+         ("none", None, None, None), ("late", None, "TIMEOUT", "Request timed out after 30s"), ("", ok, None, None),
+         ("http", ok, "HTTP_ERROR", None), ("dead", None, "ERROR", None), (None, ok, None, None)],
+        f"{kw} string, response string, error_type string, error_message string")
+    terms = spark.createDataFrame([(t, 3) for t in ["good", "cut", "none", "late", "http", "dead", "away", "", None]],
+                                  f"{kw} string, batch_id int")
+    got = {r[kw]: (r["code"], r["status"]) for r in enrich.enrich_terms(terms, answers).collect()}
+    assert got == {"good": (200, "OK"), "cut": (None, "JSON_ERROR: Invalid JSON response"),
+                   "none": (None, "JSON_ERROR: Invalid JSON response"), "late": (None, "TIMEOUT: Request timed out after 30s"),
+                   "http": (None, "HTTP_ERROR: "), "dead": (None, "ERROR: "), "away": (None, "CONNECTION_ERROR: Failed to connect to API"),
+                   "": (None, "SKIP: Empty or null search term"), None: (None, "SKIP: Empty or null search term")}
+    assert enrich.enrich_terms(terms.limit(0), answers).count() == 0
+    assert {r["status"].split(":")[0] for r in enrich.enrich_terms(terms, answers.limit(0)).collect()} == {
+        "CONNECTION_ERROR", "SKIP"}
+
+
+def test_one_job_writes_all_batches_and_a_resumed_run_only_the_rest(spark):
+    kw = "search_internal_keyword"
+    out_dir = f"{ensure_checkpoint_dir(spark)}/test-enrich-{uuid.uuid4().hex}"
+    terms = spark.createDataFrame([(f"t{i}", i // 4) for i in range(22)], f"{kw} string, batch_id long")
+    answers = terms.select(kw, F.lit('{"code": 200, "status": "OK"}').alias("response"),
+                           F.lit(None).cast("string").alias("error_type"), F.lit(None).cast("string").alias("error_message"))
+    early = answers.withColumn("response", F.lit('{"code": 200, "status": "EARLY"}'))
+    first = enrich.run_enrichment(terms, early, out_dir, batches_per_job=2, max_jobs=1)
+    assert (first.jobs, first.batches_written, first.terms) == (1, [0, 1], 8)
+    rest = enrich.run_enrichment(terms, answers, out_dir, fresh=False)
+    assert (rest.jobs, rest.terms) == (1, 14)
+    rows = enrich.read_results(spark, out_dir).collect()
+    assert {(r[kw], r["status"]) for r in rows} == {(f"t{i}", "EARLY" if i < 8 else "OK") for i in range(22)}
+    assert len(rows) == 22 and enrich.run_enrichment(terms, answers, out_dir, fresh=False).jobs == 0
+    none = enrich.run_enrichment(terms.limit(0), answers, out_dir + "-none")
+    assert (none.jobs, none.terms, none.timing()["records_per_sec"]) == (0, 0, None)
+
+
+def test_mapping_in_order(spark):
+    rows = spark.createDataFrame([(7, "b"), (2, "a/b"), (1, "é"), (4, "a"), (None, "b"), (9, None)], "n int, search_internal_category_id string")
+    out = catalog.mapping_in_order(rows, materialize).collect()
+    assert [tuple(r) for r in sorted(out, key=lambda r: r["position"])] == [
+        (9, None, 0), (4, "a", 1), (2, "a/b", 2), (None, "b", 3), (7, "b", 4), (1, "é", 5)]
