@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .exactdup import op13_content_sort
 from .html import op7_host_suffix_text
-from .licenses import MIN_DICE_PCT, TEMPLATES, bigrams, op5_license_dice
+from .licenses import MIN_DICE_PCT, forms, op5_license_dice
 from .mixing import op2_source_mix
 from .neardup import op9_bayes_minhash
 from .packing import op10_swap_packing
@@ -75,20 +75,29 @@ FROM base"""
 
 
 def license_sql() -> str:
-    rows = ", ".join(f"('{name}', [{_quoted(bigrams(text))}])" for name, text in sorted(TEMPLATES.items()))
+    rows = ", ".join(f"({k}, '{name}', {n}, [{_quoted(b)}])" for k, (name, n, b) in enumerate(forms()))
     return rf"""
-WITH t(name, b) AS (VALUES {rows}),
-d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS rid FROM documents),
-l AS (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM d),
-w AS (SELECT rid, row_number() OVER () AS lid, regexp_extract_all(lower(line), '[a-z0-9]+(?:\.[0-9]+)*') AS words FROM l),
-a AS (SELECT rid, lid, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS a
-      FROM w WHERE len(words) > 1),
-m AS (SELECT rid, lid, name, 200 * len(list_intersect(a, b)) // (len(a) + len(b)) AS dice FROM a, t
-      WHERE list_has_any(a, b)),
-best AS (SELECT rid, arg_max(name, (dice, -rn)) AS license, max(dice) AS dice, count(DISTINCT lid) AS n
-         FROM (SELECT *, row_number() OVER (ORDER BY name) AS rn FROM m WHERE dice >= {MIN_DICE_PCT}) GROUP BY rid)
-SELECT d.doc_id, best.license, best.dice::INTEGER AS dice, coalesce(best.n, 0)::BIGINT AS n_lines
-FROM d LEFT JOIN best USING (rid)"""
+WITH t(tid, name, n, b) AS (VALUES {rows}),
+tb AS (SELECT tid, unnest(b) AS pair FROM t),
+d AS (SELECT row_number() OVER () AS rid, doc_id,
+             regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+(?:\.[0-9]+)*') AS words FROM documents),
+p AS (SELECT rid, unnest(range(1, len(words))) AS i, unnest(list_zip(words[:-2], words[2:])) AS w
+      FROM d WHERE len(words) > 1),
+pairs AS (SELECT rid, i, w[1] || ' ' || w[2] AS pair FROM p),
+held AS (SELECT rid, tid, i, pair FROM pairs JOIN tb USING (pair)),
+starts AS (  -- runs of a template's pairs, in documents that hold enough of them
+  SELECT rid, tid, i AS s FROM (SELECT rid, tid, i, lag(i) OVER (PARTITION BY rid, tid ORDER BY i) AS before FROM held)
+  JOIN (SELECT rid, tid FROM held JOIN t USING (tid) GROUP BY rid, tid, len(b)
+        HAVING count(DISTINCT pair) * {200 - MIN_DICE_PCT} >= len(b) * {MIN_DICE_PCT}) USING (rid, tid)
+  WHERE before IS NULL OR before < i - 1),
+windows AS (
+  SELECT s.rid, s.tid, s.s, 200 * count(DISTINCT CASE WHEN list_contains(t.b, q.pair) THEN q.pair END)
+         // (count(DISTINCT q.pair) + len(t.b)) AS dice
+  FROM starts s JOIN t USING (tid) JOIN pairs q ON q.rid = s.rid AND q.i BETWEEN s.s AND s.s + t.n - 1
+  GROUP BY s.rid, s.tid, s.s, t.b),
+best AS (SELECT rid, min({{'rank': -dice, 'name': name}}) AS top, count(*) AS n
+         FROM windows JOIN t USING (tid) WHERE dice >= {MIN_DICE_PCT} GROUP BY rid)
+SELECT d.doc_id, top.name AS license, -top.rank AS dice, coalesce(best.n, 0) AS n_windows FROM d LEFT JOIN best USING (rid)"""
 
 
 def resampling_sql() -> str:

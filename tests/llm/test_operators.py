@@ -167,18 +167,40 @@ def test_toxicity_learns_folds_and_spares(spark):
     assert toxicity.score_toxicity(docs, none).filter("predicted = 1").count() == 0
 
 
-def test_license_dice_and_telling_words(spark):
-    texts = [*ODD, "Intro.\nReleased under the MIT License.", "CC BY-NC 4.0", "licensed UNDER cc by nc 4.0!", "the license of it"]
-    got = {r["doc_id"]: r for r in licenses.scan_licenses(frame(spark, texts)).collect()}
-    fixed = {k: set(licenses.bigrams(v)) for k, v in licenses.TEMPLATES.items()}
-    for i, t in enumerate(texts):
-        best = []
-        for line in (t or "").split("\n"):
-            a = set(licenses.bigrams(line))
-            best += [(-(200 * len(a & b) // (len(a) + len(b))), k) for k, b in fixed.items()
-                     if 200 * len(a & b) // (len(a) + len(b)) >= 60]
-        want = min(best) if best else (None, None)
-        assert (got[i]["license"], got[i]["dice"]) == ((want[1], -want[0]) if best else (None, None)), t
+def _licence_by_hand(text):
+    """Every template at every start of a run of its pairs, without any bound."""
+    p, found = licenses.pairs_of(text or ""), []
+    for name, n, b in licenses.forms():
+        b = set(b)
+        for i, x in enumerate(p):
+            if x in b and (i == 0 or p[i - 1] not in b):
+                a = set(p[i:i + n])
+                found.append((-(200 * len(a & b) // (len(a) + len(b))), name))
+    found = [f for f in found if f[0] <= -licenses.MIN_DICE_PCT]
+    return (min(found)[1], -min(found)[0], len(found)) if found else (None, None, 0)
+
+
+def test_license_windows_against_brute_force(spark):
+    import random
+    import textwrap
+    mit, apache, gpl = licenses.TEMPLATES["MIT"][2], licenses.TEMPLATES["Apache-2.0"][2], licenses.TEMPLATES["GPL-3.0"][1]
+    rnd = random.Random(3)
+    worn = " ".join("changed" if rnd.random() < 0.1 else w for w in mit.split())
+    texts = [*ODD, "Intro.\nReleased under the MIT License.", "CC BY-NC 4.0", "licensed UNDER cc by nc 4.0!", "the license of it",
+             "Released under\nthe MIT\nLicense. More text.",                                            # wrapped notice
+             "The MIT License (MIT)\n\nCopyright (c) 2020 A. Person\n\n" + textwrap.fill(mit, 60),        # headed, wrapped
+             "words before " * 300 + mit.upper() + " words after" * 300,                                  # one line, in the middle
+             "\n".join("# " + x for x in textwrap.wrap(gpl, 50)) + "\ncode = 1", "// SPDX-License-Identifier: Apache-2.0",
+             worn, mit[:len(mit) // 3], " ".join([mit] * 40), apache + "\n" + mit, "of the software " * 5000, gpl[80:]]
+    got = {r["doc_id"]: (r["license"], r["dice"], r["n_windows"]) for r in licenses.scan_licenses(frame(spark, texts)).collect()}
+    assert got == {i: _licence_by_hand(t) for i, t in enumerate(texts)}
+    n = len(ODD)
+    assert [got[i][0] for i in range(n + 4, n + 9)] == ["MIT", "MIT", "MIT", "GPL-3.0", "Apache-2.0"]
+    assert got[n + 6][1] == 100 and got[n + 9][0] == "MIT" and got[n + 10][0] is None and got[n + 13][0] is None
+    assert got[n + 12][0] == "Apache-2.0" and got[n + 14][0] == "GPL-3.0"
+    assert licenses.scan_licenses(frame(spark, ["x"]).limit(0)).count() == 0
+    own = licenses.scan_licenses(frame(spark, ["do what you like with it", "like it"]), {"Own": ("Do what you like with it.",)})
+    assert {r["doc_id"]: r["license"] for r in own.collect()} == {0: "Own", 1: None}
 
 
 def test_vectors_against_brute_force(spark):
