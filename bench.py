@@ -41,7 +41,7 @@ def main() -> None:
     ctx = context(spark, sf_dir)
     for name in ("fx_view", "fx_click", "fx_sessions", "fx_members", "fx_stopwords", "fx_category",
                  "fx_kw_category", "fx_keywords", "fx_ner", "fx_brand", "fx_attributes", "fx_seller",
-                 "fx_status_v1", "fx_status_v2"):
+                 "fx_status_v1", "fx_status_v2", "fx_responses"):
         ctx.fx[name]
     ctx.views(), ctx.clicks(), ctx.paths(), ctx.exact()
     setup = time.time() - t0
