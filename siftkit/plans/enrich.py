@@ -265,7 +265,10 @@ def run_enrichment(batched: DataFrame, answers: Answers, out_dir: str, fresh: bo
             break
         terms = todo.where(F.col("batch_id").between(at, at + step - 1))
         replace_all = fresh and stats.jobs == 0
-        write_partitions(enrich_terms(terms, answers, partitions), out_dir, "batch_id", replace_all=replace_all)
+        # a batch is a folder: each is written by one task, and the folders are dealt to all tasks, however small they are
+        tasks = min(step, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        results = enrich_terms(terms, answers, partitions).repartition(tasks, "batch_id")
+        write_partitions(results, out_dir, "batch_id", replace_all=replace_all)
         if csv_checkpoint_dir:
             written = read_results(spark, out_dir).where(F.col("batch_id").between(at, at + step - 1)).join(
                 terms.select(KW), KW, "left_semi")
