@@ -266,7 +266,7 @@ def run_enrichment(batched: DataFrame, answers: Answers, out_dir: str, fresh: bo
         terms = todo.where(F.col("batch_id").between(at, at + step - 1))
         replace_all = fresh and stats.jobs == 0
         # a batch is a folder: each is written by one task, and the folders are dealt to all tasks, however small they are
-        tasks = min(step, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        tasks = min(step, int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
         results = enrich_terms(terms, answers, partitions).repartition(tasks, "batch_id")
         write_partitions(results, out_dir, "batch_id", replace_all=replace_all)
         if csv_checkpoint_dir:
